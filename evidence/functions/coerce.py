@@ -74,25 +74,26 @@ def to_float_or_null(v: Column | str) -> Column:
             .otherwise(F.try_variant_get(v, "$", "double")))
 
 
-def _wide_int(v: Column) -> Column:
-    # as double, so that numbers beyond 64 bits still clamp to the right bound
-    return (F.when(_is_string(v), _first_number(_as_text(v), r"-?\d+").try_cast("double"))
-            .otherwise(F.try_variant_get(v, "$", "double")))
-
+def _clamped(v: Column, lo: int, hi: int) -> Column:
+    # greatest/least skip nulls, so null needs its own branch; a number beyond 64 bits
+    # still clamps to the right bound, by way of double
+    def bounded(n: Column, low, high) -> Column:
+        return F.when(n.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), n)).cast("int"))
 
-def _clamped(n: Column, lo: int, hi: int) -> Column:
-    # greatest/least skip nulls, so null needs its own branch
-    return F.when(n.isNotNull(),
-                  F.greatest(F.lit(float(lo)), F.least(F.lit(float(hi)), n)).cast("int"))
+    text = let(_first_number(_as_text(v), r"-?\d+"), lambda d: F.coalesce(
+        bounded(d.try_cast("bigint"), lo, hi), bounded(d.try_cast("double"), float(lo), float(hi))))
+    return F.when(_is_string(v), text).otherwise(F.coalesce(
+        let(F.try_variant_get(v, "$", "bigint"), lambda n: bounded(n, lo, hi)),
+        let(F.try_variant_get(v, "$", "double"), lambda n: bounded(n, float(lo), float(hi)))))
 
 
 def clamp_all(values: Sequence[Column], lo: int, hi: int) -> Column:
     """Array of the values as integers within the bounds, null where there is no number."""
-    return F.transform(F.array(*[_wide_int(v) for v in values]), lambda n: _clamped(n, lo, hi))
+    return F.transform(F.array(*values), lambda v: _clamped(v, lo, hi))
 
 
 def clamp_int_or_null(v: Column | str, lo: int, hi: int) -> Column:
-    return F.get(clamp_all([col(v)], lo, hi), F.lit(0))
+    return let(col(v), lambda x: _clamped(x, lo, hi))
 
 
 def clamp_0_100(v: Column | str, default: int = 0) -> Column:
@@ -127,11 +128,13 @@ def coerce_enum(c: Column | str, allowed: Sequence[str], default: str) -> Column
     by_label: dict[str, str] = {}
     for member in allowed:
         by_label.setdefault(label_of(member), member)
-    found = F.try_element_at(_literal_map(by_label), label(c))
-    if any(by_label[label_of(m)] != m for m in allowed):
-        # two members share a label: an exact hit goes first
-        exact = F.try_element_at(_literal_map({m: m for m in allowed}), norm_text(c))
-        found = F.coalesce(exact, found)
+    # well-spelled answers hit the first lookup and skip the label rule
+    exact = {m: m for m in allowed}
+    found = F.coalesce(F.try_element_at(_literal_map(exact), col(c)), *(
+        [] if all(by_label[label_of(m)] == m for m in allowed) else
+        # two members share a label: an exact hit after norm_text goes first
+        [F.try_element_at(_literal_map(exact), norm_text(c))]),
+        F.try_element_at(_literal_map(by_label), label(c)))
     # a text made of nothing but punctuation has the empty label, which is no member
     return F.coalesce(found, F.lit(default))
 

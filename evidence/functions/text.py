@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Whitespace as Unicode text processing sees it, plus the four ASCII separators.
@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 WHITESPACE = "".join(map(chr, (
     *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
     0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
-_GAPS = "".join(f"\\u{ord(ch):04x}" for ch in WHITESPACE if ch != " ")
+# the same set without the space, as regex ranges
+_GAPS = r"\t-\r\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 # A lone space is already normal form, so ordinary prose needs no replacement at all.
 _TO_COLLAPSE = f"[ {_GAPS}]{{2,}}|[{_GAPS}]"
 HAS_TEXT = f"[^ {_GAPS}]"
@@ -25,9 +26,21 @@ def col(c: Column | str) -> Column:
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once per row and use it several times in ``body``.
 
-    Inside ``transform`` lambdas Spark does no common-subexpression elimination.
+    Inside lambdas Spark does no common-subexpression elimination.  This is the finish
+    step of a fold over no elements: nothing is looped and no array is built.
     """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return F.aggregate(F.array().cast("array<int>"), value, lambda acc, _: acc, body)
+
+
+def computed(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Add expensive columns that are evaluated exactly once per row.
+
+    A filter on a plain projected column is pushed below the projection with the whole
+    expression copied into it.  A one-row ``inline`` gives the same columns, but a filter
+    on them stays above, while filters on other columns still go through.
+    """
+    row = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select(*[c for c in df.columns if c not in columns], F.inline(F.array(row)))
 
 
 def strip(c: Column | str) -> Column:
@@ -42,7 +55,9 @@ def norm_text(c: Column | str) -> Column:
 
 def first_text(*candidates: Column | str) -> Column:
     """First candidate that is neither null nor empty, else null."""
-    return F.get(F.filter(F.array(*map(col, candidates)), lambda x: x != ""), F.lit(0))
+    first, *rest = candidates
+    return let(col(first), lambda x: F.when(x != "", x).otherwise(
+        first_text(*rest) if rest else F.lit(None).cast("string")))
 
 
 def maybe_text(c: Column | str) -> Column:

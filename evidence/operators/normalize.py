@@ -116,6 +116,19 @@ def _any_known(models: Column, flag: str) -> Column:
     return F.array_max(known)
 
 
+# Level expressions per session and schema.  They name their inputs, so one tree serves
+# every frame; building it takes thousands of calls into the JVM.
+_BUILT: dict[tuple, tuple[Column, Column]] = {}
+
+
+def _levels(df: DataFrame, schema: ExtractionSchema, source: dict[str, Column]
+            ) -> tuple[Column, Column]:
+    key = (id(df.sparkSession.sparkContext), repr(schema), tuple(source))
+    if key not in _BUILT:
+        _BUILT[key] = _article(schema, source), _entities(schema)
+    return _BUILT[key]
+
+
 def normalize(df: DataFrame, schema: ExtractionSchema = DEFAULT_SCHEMA, *, raw: str = "raw",
               error: str | None = None, error_label: str = "primary_failed") -> DataFrame:
     """Add ``doc`` and ``issues`` to rows that hold source columns and a VARIANT ``raw``.
@@ -128,17 +141,18 @@ def normalize(df: DataFrame, schema: ExtractionSchema = DEFAULT_SCHEMA, *, raw:
     failed = F.col(error).isNotNull() if error else F.lit(False)
     keep = list(df.columns)
 
-    typed = df.withColumn("_raw", F.try_variant_get(F.col(raw), "$", schema.raw_type()))
-    levels = typed.withColumns({"_article": _article(schema, source),
-                                "_entities": _entities(schema)})
+    typed = text.computed(df, {"_raw": F.try_variant_get(F.col(raw), "$", schema.raw_type())})
+    article, entities = _levels(df, schema, source)
+    levels = text.computed(typed, {"_article": article, "_entities": entities})
     counted = levels.withColumns({
         "_models": _renumbered(schema),
         "_structure": _structure_issues(schema),
     })
-    return (counted.withColumns({"_body": _body(schema), "_issues": _issues(schema, failed, error,
-                                                                             error_label)})
-            .select(*keep, _document(schema, failed, error, error_label).alias("doc"),
-                    F.col("_issues").alias("issues")))
+    rolled = counted.withColumns({"_body": _body(schema),
+                                  "_issues": _issues(schema, failed, error, error_label)})
+    return text.computed(rolled, {
+        "doc": _document(schema, failed, error, error_label), "issues": F.col("_issues"),
+    }).select(*[c for c in keep if c not in ("doc", "issues")], "doc", "issues")
 
 
 def _structure_issues(schema: ExtractionSchema) -> Column:

@@ -120,8 +120,8 @@ def best_attempt(responses: DataFrame,
     Adds ``raw`` (VARIANT, null when no attempt was good), ``ok`` and ``error``.  Each text
     is parsed once; the group limit before the shuffle keeps one row per key and task.
     """
-    parsed = responses.withColumn(
-        "raw", F.when(F.col("status") == 200, jsontext.parse_object("content")))
+    parsed = text.computed(responses, {
+        "raw": F.when(F.col("status") == 200, jsontext.parse_object("content"))})
     ranked = parsed.withColumn("ok", F.col("raw").isNotNull())
     w = Window.partitionBy(*keys).orderBy(
         F.desc("ok"), F.when(F.col("ok"), F.col("attempt")).otherwise(-F.col("attempt")))

@@ -14,9 +14,15 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # a repeated key in model-written JSON keeps its last value
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # lower() of the JVM, which has a fast path for ASCII
+    "spark.sql.icu.caseMappings.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
 }
 
+# To be given when the session is built: no Python call site per expression node, which
+# makes building the large normalisation plan faster.
+STATIC_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the run-time settings to a session the caller owns."""

@@ -57,8 +57,8 @@ def parse_records(df: DataFrame, xml: str = "xml", title_text: str = "full") ->
     """
     options = {"mode": "PERMISSIVE", "ignoreSurroundingSpaces": "false"}
     keep = [c for c in df.columns if c != xml]
-    parsed = df.select(*keep, F.from_xml(plain_markup(F.col(xml), title_text), RECORD_TYPE, options)
-                       .alias("_r"))
+    parsed = text.computed(df, {
+        "_r": F.from_xml(plain_markup(F.col(xml), title_text), RECORD_TYPE, options)})
     c = F.col("_r.MedlineCitation")
     a = c["Article"]
     date = a["Journal"]["JournalIssue"]["PubDate"]

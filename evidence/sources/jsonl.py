@@ -39,7 +39,7 @@ def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     Bytes that are no UTF-8 become the replacement character first.
     """
     clean = F.make_valid_utf8(F.col(value))
-    return (lines.withColumn("v", jsontext.parse_strict_object(clean))
+    return (text.computed(lines, {"v": jsontext.parse_strict_object(clean)})
             .filter("v is not null").drop(value))
 
 
@@ -88,7 +88,7 @@ def articles(scan: DataFrame) -> DataFrame:
     position = [c for c in scan.columns if c != "v"]
     a = F.col("_a")
     texts = ("pmid", "title", "abstract", "journal", "pub_date", "doi", "country")
-    return scan.withColumn("_a", F.try_variant_get("v", "$", _FIELDS)).select(
+    return text.computed(scan, {"_a": F.try_variant_get("v", "$", _FIELDS)}).select(
         *[a[c].alias(c) for c in texts],
         *[_text_items(a[c]).alias(c) for c in ("publication_types", "keywords", "authors")],
         _mesh_items(a["mesh_terms"]).alias("mesh_terms"), *position)
