@@ -234,7 +234,7 @@ _SQUEEZED = r"trim(regexp_replace({}, '[\s\x{{a0}}]+', ' ', 'g'))"
 @bound(f"""SELECT CAST(doc_id AS VARCHAR) AS pmid, CASE WHEN ok THEN 'ok' ELSE 'error' END AS status,
     CASE WHEN ok THEN 'n ' || n ELSE substr({_SQUEEZED.format("'primary_failed: LLM call failed, model=m1, error=' || coalesce(" + _ERROR_SQL + ", 'no response')")}, 1, 300) END AS notes,
     CAST(1 AS INT) AS n_issues, TRUE AS needs_review
-  FROM documents LEFT JOIN ({_BEST_SQL}) b ON doc_id = conv_id""")
+  FROM (SELECT doc_id FROM documents) LEFT JOIN ({_BEST_SQL}) b ON doc_id = conv_id""")
 def extraction_with_failures(spark, sf):
     rows = extract.extract(articles(spark, sf), attempts(spark, sf),
                            settings=extract.RunSettings(primary_model="m1"))

@@ -108,7 +108,7 @@ def crosstab(df: DataFrame, row: str, column: str, values: Sequence[str]) -> Dat
     The value list is given, so no extra job looks it up.
     """
     kept = df.filter(F.col(row).isNotNull() & F.col(column).isin(*values))
-    return (kept.groupBy(row).pivot(column, list(values)).agg(F.count("*"))
+    return (kept.groupBy(row).pivot(column, list(values)).count()
             .na.fill(0, list(values)).orderBy(row))
 
 
