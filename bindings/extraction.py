@@ -327,11 +327,13 @@ def arbitrated_documents(spark, sf):
 
 
 def _first_docs(spark, sf):
-    return documents(spark, sf).select("pmid", F.substring("journal", 1, 1).alias("shard"), "doc")
+    """Extracted documents as the first run leaves them: a stored table."""
+    rows = documents(spark, sf).select("pmid", F.substring("journal", 1, 1).alias("shard"), "doc")
+    return sinks.stage_rows(rows, shared_folder(spark, "extracted"), "first")
 
 
-def _arbitrated(spark, sf):
-    first = _first_docs(spark, sf)
+def _arbitrated(spark, sf, first=None):
+    first = first or _first_docs(spark, sf)
     done = first.filter(F.col("pmid").cast("bigint") % 4 == 0)
     return extract.rerun_flagged(order_sources(spark, sf), first, two_answers(spark, sf), done, ONE_MODEL)
 
@@ -342,8 +344,9 @@ def _arbitrated(spark, sf):
     count(*) FILTER (WHERE k % 4 <> 0 AND NOT ok2) AS errors
   FROM ({_PASSES}) WHERE flag1 GROUP BY ROLLUP ({_SHARD})""")
 def arbitration_totals(spark, sf):
-    flagged = records.flagged_ids(_first_docs(spark, sf), keep=["shard"])
-    return extract.rerun_totals(_arbitrated(spark, sf), flagged)
+    first = _first_docs(spark, sf)
+    flagged = records.flagged_ids(first, keep=["shard"])
+    return extract.rerun_totals(_arbitrated(spark, sf, first), flagged)
 
 
 @bound(f"""SELECT CAST(k AS VARCHAR) AS pmid, {_SHARD} AS shard FROM ({DOCUMENT_SQL})

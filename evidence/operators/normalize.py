@@ -1,9 +1,10 @@
 """Normalise parsed answers into the fixed extraction document.
 
-The work is row local: three projections, no shuffle.  The first casts the VARIANT once to
-a struct whose text fields are strings and whose other fields stay VARIANT (a value of the
-wrong JSON type becomes null by that cast).  The second normalises article and entities,
-each bound once.  The third rolls entities up and assembles document and issue list.
+The work is row local, so there is no shuffle.  The VARIANT is cast once to a struct whose
+text fields are strings and whose other fields stay VARIANT (a value of the wrong JSON type
+becomes null by that cast).  Article and entities are normalised from that struct, then
+rolled up and assembled.  All of it is one expression with bound intermediate values, so
+nothing is evaluated twice and no intermediate document is written to a row.
 """
 
 from __future__ import annotations
@@ -69,14 +70,14 @@ def _level(fields: Sequence[Field], raw: Column, prefix: Column, schema: Extract
     return let(bound, build)
 
 
-def _article(schema: ExtractionSchema, source: dict[str, Column]) -> Column:
+def _article(r: Column, schema: ExtractionSchema, source: dict[str, Column]) -> Column:
     def finish(values: dict[str, Column], issues: Column) -> Column:
         return F.struct(*[v.alias(k) for k, v in values.items()], issues.alias("issues"))
-    return _level(schema.article_fields, F.col("_raw")[schema.article_key], F.lit("article"),
-                  schema, source, finish)
+    return _level(schema.article_fields, r[schema.article_key], F.lit("article"), schema, source,
+                  finish)
 
 
-def _entities(schema: ExtractionSchema) -> Column:
+def _entities(r: Column, schema: ExtractionSchema) -> Column:
     """``array<struct<doc, issues>>``; ``doc`` is null for an item that is no object."""
     ext, internal, kind = (schema.entity_external, schema.entity_internal,
                            schema.entity_validation)
@@ -98,13 +99,12 @@ def _entities(schema: ExtractionSchema) -> Column:
         return (F.when(m.isNull(), bad)
                 .otherwise(_level(schema.entity_fields, m, prefix, schema, {}, finish)))
 
-    models = F.coalesce(F.col("_raw")[schema.entity_key],
-                        F.array().cast(schema.raw_entities_type()))
+    models = F.coalesce(r[schema.entity_key], F.array().cast(schema.raw_entities_type()))
     return F.transform(models, one)
 
 
-def _renumbered(schema: ExtractionSchema) -> Column:
-    kept = F.filter(F.col("_entities"), lambda e: e["doc"].isNotNull())
+def _renumbered(entities: Column, schema: ExtractionSchema) -> Column:
+    kept = F.filter(entities, lambda e: e["doc"].isNotNull())
     return F.transform(kept, lambda e, i: F.struct(
         (i + 1).alias(schema.entity_id),
         *[e["doc"][f.name].alias(f.name) for f in schema.entity_fields]))
@@ -116,101 +116,90 @@ def _any_known(models: Column, flag: str) -> Column:
     return F.array_max(known)
 
 
-# Level expressions per session and schema.  They name their inputs, so one tree serves
-# every frame; building it takes thousands of calls into the JVM.
-_BUILT: dict[tuple, tuple[Column, Column]] = {}
+def extraction(raw: Column, source: dict[str, Column], schema: ExtractionSchema = DEFAULT_SCHEMA,
+               error: Column | None = None, error_label: str = "primary_failed") -> Column:
+    """``struct<doc, issues>`` of one answer; with a non-null ``error`` the empty template."""
+    def with_raw(r: Column) -> Column:
+        levels = F.struct(_article(r, schema, source).alias("article"),
+                          _entities(r, schema).alias("entities"))
+        return let(levels, lambda x: with_levels(r, x))
 
+    def with_levels(r: Column, x: Column) -> Column:
+        found = F.struct(_renumbered(x["entities"], schema).alias("models"),
+                         _issues(r, x, schema, error, error_label).alias("issues"))
+        return let(found, lambda y: F.struct(
+            _document(r, x["article"], y["models"], y["issues"], schema, error, error_label)
+            .alias("doc"), y["issues"].alias("issues")))
 
-def _levels(df: DataFrame, schema: ExtractionSchema, source: dict[str, Column]
-            ) -> tuple[Column, Column]:
-    key = (id(df.sparkSession.sparkContext), repr(schema), tuple(source))
-    if key not in _BUILT:
-        _BUILT[key] = _article(schema, source), _entities(schema)
-    return _BUILT[key]
-
+    return let(F.try_variant_get(raw, "$", schema.raw_type()), with_raw)
 
-def normalize(df: DataFrame, schema: ExtractionSchema = DEFAULT_SCHEMA, *, raw: str = "raw",
-              error: str | None = None, error_label: str = "primary_failed") -> DataFrame:
-    """Add ``doc`` and ``issues`` to rows that hold source columns and a VARIANT ``raw``.
 
-    Source columns ``pmid, title, journal, pub_date, country`` are used where present.
-    Rows where the ``error`` column is set get the empty template with the error as note.
-    """
-    source = {c: text.norm_text(c) for c in ("pmid", "title", "journal", "pub_date", "country")
-              if c in df.columns}
-    failed = F.col(error).isNotNull() if error else F.lit(False)
-    keep = list(df.columns)
-
-    typed = text.computed(df, {"_raw": F.try_variant_get(F.col(raw), "$", schema.raw_type())})
-    article, entities = _levels(df, schema, source)
-    levels = text.computed(typed, {"_article": article, "_entities": entities})
-    counted = levels.withColumns({
-        "_models": _renumbered(schema),
-        "_structure": _structure_issues(schema),
-    })
-    rolled = counted.withColumns({"_body": _body(schema),
-                                  "_issues": _issues(schema, failed, error, error_label)})
-    return text.computed(rolled, {
-        "doc": _document(schema, failed, error, error_label), "issues": F.col("_issues"),
-    }).select(*[c for c in keep if c not in ("doc", "issues")], "doc", "issues")
-
-
-def _structure_issues(schema: ExtractionSchema) -> Column:
-    r = F.col("_raw")
-    return F.when(r.isNull(), F.array(F.lit("top_level_not_object"))).otherwise(
-        F.array_compact(F.array(
-            F.when(r[schema.article_key].isNull(), F.lit(f"missing_{schema.article_key}")),
-            F.when(r[schema.entity_key].isNull(), F.lit(f"missing_{schema.entity_key}_array")))))
-
-
-def _issues(schema: ExtractionSchema, failed: Column, error: str | None, label: str) -> Column:
-    a = F.col("_article")
+def _issues(r: Column, x: Column, schema: ExtractionSchema, error: Column | None,
+            label: str) -> Column:
+    a, none = x["article"], F.array().cast("array<string>")
+    structure = F.array_compact(F.array(
+        F.when(r[schema.article_key].isNull(), F.lit(f"missing_{schema.article_key}")),
+        F.when(r[schema.entity_key].isNull(), F.lit(f"missing_{schema.entity_key}_array"))))
     negative = F.when(a[schema.article_count] < 0, F.array(F.lit("number_of_models_negative")))
-    found = F.concat(
-        F.col("_structure"), a["issues"],
-        F.flatten(F.transform(F.col("_entities"), lambda e: e["issues"])),
-        F.coalesce(negative, F.array().cast("array<string>")))
+    found = F.when(r.isNull(), F.array(F.lit("top_level_not_object"))).otherwise(F.concat(
+        structure, a["issues"], F.flatten(F.transform(x["entities"], lambda e: e["issues"])),
+        F.coalesce(negative, none)))
     if error is None:
         return found
-    return F.when(failed, F.array(F.concat(F.lit(f"{label}:"), text.norm_text(error)))
+    return F.when(error.isNotNull(), F.array(F.concat(F.lit(f"{label}:"), text.norm_text(error)))
                   ).otherwise(found)
 
 
-def _body(schema: ExtractionSchema) -> Column:
-    """Roll-ups over the renumbered entities: model count and validation flags."""
-    models = F.col("_models")
-    given = F.col("_article")[schema.article_count]
-    return F.struct(
-        F.when(given >= 0, given).otherwise(F.size(models).cast("bigint")).alias("count"),
-        F.coalesce(F.col("_article")[schema.article_external],
-                   _any_known(models, schema.entity_external)).alias("external"),
-        F.coalesce(F.col("_article")[schema.article_internal],
-                   _any_known(models, schema.entity_internal)).alias("internal"))
-
-
-def _document(schema: ExtractionSchema, failed: Column, error: str | None, label: str) -> Column:
-    a, b, r = F.col("_article"), F.col("_body"), F.col("_raw")
-    derived = {schema.article_count: b["count"],
-               schema.article_multi: b["count"] > 1,
-               schema.article_external: b["external"],
-               schema.article_internal: b["internal"]}
-    if error:
+def _document(r: Column, a: Column, models: Column, issues: Column, schema: ExtractionSchema,
+              error: Column | None, label: str) -> Column:
+    given = a[schema.article_count]
+    count = F.when(given >= 0, given).otherwise(F.size(models).cast("bigint"))
+    derived = {
+        schema.article_count: count, schema.article_multi: count > 1,
+        schema.article_external: F.coalesce(a[schema.article_external],
+                                            _any_known(models, schema.entity_external)),
+        schema.article_internal: F.coalesce(a[schema.article_internal],
+                                            _any_known(models, schema.entity_internal))}
+    flagged = F.size(issues) > 0
+    if error is not None:
         note = F.substring(F.concat(F.lit(f"{label}: "), text.norm_text(error)), 1, NOTE_CHARS)
-        derived[schema.article_notes] = F.when(failed, note).otherwise(a[schema.article_notes])
+        derived[schema.article_notes] = F.when(error.isNotNull(), note).otherwise(
+            a[schema.article_notes])
     article = F.struct(*[derived.get(f.name, a[f.name]).alias(f.name)
                          for f in schema.article_fields])
     confidence = F.struct(*[coerce.clamp_0_100(r["normalization"][c]).alias(c)
                             for c in schema.confidences])
-    flagged = failed | (F.size("_issues") > 0)
     flags = F.struct(
         *[coerce.to_bool(r["quality_flags"][c]).alias(c) for c in schema.ambiguity_flags],
         (flagged | coerce.to_bool(r["quality_flags"][schema.review_flag]))
         .alias(schema.review_flag))
-    return F.struct(article.alias(schema.article_key),
-                    F.col("_models").alias(schema.entity_key),
+    return F.struct(article.alias(schema.article_key), models.alias(schema.entity_key),
                     confidence.alias("normalization"), flags.alias("quality_flags"))
 
 
+# Expressions per session and parameters.  They name their inputs, so one tree serves every
+# frame; building it takes thousands of calls into the JVM.
+_BUILT: dict[tuple, Column] = {}
+
+
+def normalize(df: DataFrame, schema: ExtractionSchema = DEFAULT_SCHEMA, *, raw: str = "raw",
+              error: str | None = None, error_label: str = "primary_failed") -> DataFrame:
+    """Add ``doc`` and ``issues`` to rows that hold source columns and a VARIANT ``raw``.
+
+    Source columns ``pmid, title, journal, pub_date, country`` are used where present.
+    Rows where the ``error`` column is set get the empty template with the error as note.
+    """
+    names = tuple(c for c in ("pmid", "title", "journal", "pub_date", "country")
+                  if c in df.columns)
+    key = (id(df.sparkSession.sparkContext), repr(schema), names, raw, error, error_label)
+    if key not in _BUILT:
+        _BUILT[key] = F.inline(F.array(extraction(
+            F.col(raw), {c: text.norm_text(c) for c in names}, schema,
+            None if error is None else F.col(error), error_label)))
+    # a one-row inline keeps filters on the document above its computation
+    return df.select(*[c for c in df.columns if c not in ("doc", "issues")], _BUILT[key])
+
+
 def needs_review(doc: Column | str = "doc", threshold: int = REVIEW_THRESHOLD,
                  schema: ExtractionSchema = DEFAULT_SCHEMA) -> Column:
     """True when a normalised document should be looked at by a person or a second pass."""
