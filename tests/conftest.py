@@ -1,3 +1,4 @@
+import os
 import pathlib
 import sys
 
@@ -5,7 +6,9 @@ import pytest
 from pyspark.sql import SparkSession
 
 ROOT = pathlib.Path(__file__).resolve().parents[1]
-sys.path.insert(0, str(ROOT))
+sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
+# Python workers import the functions under test by name
+os.environ["PYTHONPATH"] = os.pathsep.join(sys.path[:2])
 
 
 @pytest.fixture(scope="session")
