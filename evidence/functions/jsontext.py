@@ -54,20 +54,17 @@ def first_json_object(c: Column | str) -> Column:
     return F.when(F.locate("{", t) > 0, let(tail, cut))
 
 
-def _object_only(text: Column, parsed: Column) -> Column:
-    # a text that parses and starts with a brace is an object: no need to walk the value
-    return F.when(F.startswith(text, F.lit("{")), parsed)
-
-
 def parse_object(c: Column | str) -> Column:
     """VARIANT object held by an answer text, or null.
 
-    The text behind a code fence if it is an object, else its first balanced object.
-    ``coalesce`` is lazy, so the token fold runs only where the direct parse gave nothing.
+    The rule is: the text behind a code fence if that is an object, else its first
+    balanced object.  ``try_parse_json`` reads one value and ignores what follows, so
+    parsing from the first brace on gives the same in every case: a value that parses
+    there is the first balanced object, and if none parses there the rule fails too.
     """
-    return let(strip_code_fence(c), lambda t: F.coalesce(
-        _object_only(t, F.try_parse_json(t)),
-        F.try_parse_json(first_json_object(t))))
+    t = col(c)
+    at = F.locate("{", t)
+    return F.when(at > 0, F.try_parse_json(F.substr(t, at)))
 
 
 def parse_strict(c: Column | str) -> Column:

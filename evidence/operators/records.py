@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import jsontext, text
 from ..operators.normalize import needs_review
 from ..schema import DEFAULT_SCHEMA, REVIEW_THRESHOLD, RETRIED_STATUS, ExtractionSchema
+from .screen import answer_head, decision_of
 
 RESPONSE_TYPE = ("pmid string, model string, pass int, attempt int, status int, "
                  "content string")
@@ -137,18 +138,20 @@ def best_screening_attempt(responses: DataFrame) -> DataFrame:
     A text without any brace is a final error; other failures were tried again, so the
     first attempt that is final wins.
     """
-    from .screen import parse_decision
+    parsed = text.computed(responses, {
+        "_v": F.when(F.col("status") == 200, jsontext.parse_screening("content")),
+        "_head": answer_head("content")})
     final = (F.col("status") == 200) & (
-        jsontext.parse_screening("content").isNotNull() | (F.locate("{", F.col("content")) == 0))
-    ranked = responses.withColumn("ok", F.coalesce(final, F.lit(False)))
+        F.col("_v").isNotNull() | (F.locate("{", F.col("content")) == 0))
+    ranked = parsed.withColumn("ok", F.coalesce(final, F.lit(False))).drop("content")
     w = Window.partitionBy("pmid").orderBy(
         F.desc("ok"), F.when(F.col("ok"), F.col("attempt")).otherwise(-F.col("attempt")))
     failed = F.struct(F.lit("error").alias("decision"),
                       F.lit("max retries exceeded").alias("reason"))
     return (ranked.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
             .select("pmid", "attempt", "ok",
-                    F.when(F.col("ok"), parse_decision("content")).otherwise(failed)
-                    .alias("answer")))
+                    F.when(F.col("ok"), decision_of(F.col("_v"), F.col("_head")))
+                    .otherwise(failed).alias("answer")))
 
 
 def attach(source: DataFrame, responses: DataFrame, model: str, pass_no: int | None = None,

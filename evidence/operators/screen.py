@@ -137,17 +137,24 @@ DECISION_FLAGS = ("include", "is_original_article", "is_clinical_prediction_mode
 
 
 def parse_decision(content: Column | str) -> Column:
-    """``struct<decision, reason>`` of a screening answer.
+    """``struct<decision, reason>`` of a screening answer."""
+    return decision_of(jsontext.parse_screening(content), answer_head(content))
+
+
+def answer_head(content: Column | str) -> Column:
+    """Start of an answer, for the reason of a failed parse."""
+    return F.substring(jsontext.drop_fence_lines(content), 1, 100)
+
+
+def decision_of(parsed: Column, head: Column) -> Column:
+    """Decision of a parsed answer.
 
     An answer that is no JSON object is an ``error``; so is an object without a decision.
     """
-    c = text.col(content)
-    named = ("decision string", "reason string")
     failed = F.struct(F.lit("error").alias("decision"),
-                      F.concat(F.lit("JSON parse failed: "),
-                               F.substring(jsontext.drop_fence_lines(c), 1, 100)).alias("reason"))
+                      F.concat(F.lit("JSON parse failed: "), head).alias("reason"))
     return text.let(
-        F.try_variant_get(jsontext.parse_screening(c), "$", f"struct<{','.join(named)}>"),
+        F.try_variant_get(parsed, "$", "struct<decision string,reason string>"),
         lambda d: F.when(d.isNull(), failed).otherwise(
             F.struct(F.coalesce(d["decision"], F.lit("error")).alias("decision"),
                      d["reason"].alias("reason"))))

@@ -17,9 +17,12 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "append") -> None:
 
 def write_sharded(df: DataFrame, path: str, rows: int = SHARD_ROWS, order: Sequence[str] = (),
                   mode: str = "overwrite") -> None:
-    """JSON lines with at most ``rows`` records per file, ranged by ``order`` if given."""
+    """JSON lines with at most ``rows`` records per file, ranged by ``order`` if given.
+
+    A hash of the row ends the range key, so a value that many rows share is spread too.
+    """
     if order:
-        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+        df = df.repartitionByRange(*order, F.xxhash64(*df.columns)).sortWithinPartitions(*order)
     (df.write.mode(mode).option("maxRecordsPerFile", rows)
      .option("ignoreNullFields", "false").json(path))
 

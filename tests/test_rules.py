@@ -1,6 +1,7 @@
 """Rule tables: hand-written inputs and expected values of the column functions."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -110,29 +111,59 @@ def test_objects_in_text(spark):
         ('no {braces} {"a":1}', None), ('{"a":1,"a":2}', '{"a":2}')], shown)
 
 
+def balanced(s):
+    """First balanced object by a plain character walk."""
+    at = s.find("{")
+    depth, quoted, skip = 0, False, False
+    for pos in range(at, len(s)) if at >= 0 else ():
+        ch = s[pos]
+        if skip:
+            skip = False
+        elif quoted:
+            quoted, skip = ch != '"', ch == "\\"
+        elif ch == '"':
+            quoted = True
+        elif ch in "{}":
+            depth += 1 if ch == "{" else -1
+            if not depth:
+                return s[at:pos + 1]
+    return None
+
+
 def test_first_object_against_character_rule(spark):
     """The token fold against a plain character walk on random texts."""
-    import random
     rng = random.Random(7)
     texts = ["".join(rng.choice('{}"\\ab') for _ in range(rng.randint(0, 25))) for _ in range(3000)]
-
-    def walk(s):
-        at = s.find("{")
-        depth, quoted, skip = 0, False, False
-        for pos in range(at, len(s)) if at >= 0 else ():
-            ch = s[pos]
-            if skip:
-                skip = False
-            elif quoted:
-                quoted, skip = ch != '"', ch == "\\"
-            elif ch == '"':
-                quoted = True
-            elif ch in "{}":
-                depth += 1 if ch == "{" else -1
-                if not depth:
-                    return s[at:pos + 1]
+    check(spark, [(t, balanced(t)) for t in texts], jsontext.first_json_object)
+
+
+def test_parse_object_against_the_stated_rule(spark):
+    """Parsing from the first brace against: fence off, whole text, else first balanced object."""
+    rng = random.Random(11)
+    parts = ['{"a": 1}', '{"b": {"c": "}"}}', "{", "}", '"', "[", "]", " ", "```json\n", "```", "x", ",", '\\"', ":", "1"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 7))) for _ in range(6000)]
+
+    def parsed(s):
+        try:
+            return json.loads(s or "")
+        except ValueError:
+            return None
+
+    def rule(s):
+        s = s.strip()
+        if s.startswith("```"):
+            s = s[3:].removeprefix("json").lstrip()
+            s = s[:-3].rstrip() if s.endswith("```") else s
+        for candidate in (parsed(s), parsed(balanced(s))):
+            if isinstance(candidate, dict):
+                return json.dumps(candidate, separators=(",", ":"))
         return None
-    check(spark, [(t, walk(t)) for t in texts], jsontext.first_json_object)
+    check(spark, [(t, rule(t)) for t in texts], lambda x: F.to_json(jsontext.parse_object(x)))
+
+
+def test_code_fences(spark):
+    check(spark, [("```json\n{}\n```", "{}"), (" ```JSON {} ", "{}"), ("```\nx```", "x"), ("a ``` b", "a ``` b"), (" y ", "y")],
+          jsontext.strip_code_fence)
 
 
 def test_screening_text(spark):
