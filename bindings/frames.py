@@ -156,12 +156,19 @@ def answers(spark: SparkSession, sf: str) -> DataFrame:
         k.alias("k"), _c().alias("c")), F.col("k"), F.col("c"))
 
 
+_BODIES: dict[int, Column] = {}
+
+
 def with_answers(df: DataFrame, k: Column, c: Column) -> DataFrame:
     """Add the answer text ``content``; every 23rd answer is cut off."""
-    body = computed(df, {"_body": answer_body(k, c)})
-    text = computed(body, {"_text": wrapped(F.col("_body"), k)})
-    return text.withColumn("content", F.when(k % 23 == 7, F.substring_index("_text", "}", 1))
-                           .otherwise(F.col("_text"))).drop("_body", "_text")
+    session = id(df.sparkSession.sparkContext)
+    if session not in _BODIES:
+        _BODIES[session] = answer_body(F.col("_k"), F.col("_c"))
+    keyed = df.select("*", k.alias("_k"), c.alias("_c"))
+    body = computed(keyed, {"_body": _BODIES[session]})
+    text = computed(body, {"_text": wrapped(F.col("_body"), F.col("_k"))})
+    return text.withColumn("content", F.when(F.col("_k") % 23 == 7, F.substring_index("_text", "}", 1))
+                           .otherwise(F.col("_text"))).drop("_body", "_text", "_k", "_c")
 
 
 def _sql_list(words: tuple[str, ...]) -> str:

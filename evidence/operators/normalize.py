@@ -117,7 +117,7 @@ def _any_known(models: Column, flag: str) -> Column:
 
 
 def extraction(raw: Column, source: dict[str, Column], schema: ExtractionSchema = DEFAULT_SCHEMA,
-               error: Column | None = None, error_label: str = "primary_failed") -> Column:
+               error: Column | None = None, error_label: Column | None = None) -> Column:
     """``struct<doc, issues>`` of one answer; with a non-null ``error`` the empty template."""
     def with_raw(r: Column) -> Column:
         levels = F.struct(_article(r, schema, source).alias("article"),
@@ -135,7 +135,7 @@ def extraction(raw: Column, source: dict[str, Column], schema: ExtractionSchema
 
 
 def _issues(r: Column, x: Column, schema: ExtractionSchema, error: Column | None,
-            label: str) -> Column:
+            label: Column | None) -> Column:
     a, none = x["article"], F.array().cast("array<string>")
     structure = F.array_compact(F.array(
         F.when(r[schema.article_key].isNull(), F.lit(f"missing_{schema.article_key}")),
@@ -146,12 +146,12 @@ def _issues(r: Column, x: Column, schema: ExtractionSchema, error: Column | None
         F.coalesce(negative, none)))
     if error is None:
         return found
-    return F.when(error.isNotNull(), F.array(F.concat(F.lit(f"{label}:"), text.norm_text(error)))
+    return F.when(error.isNotNull(), F.array(F.concat(label, F.lit(":"), text.norm_text(error)))
                   ).otherwise(found)
 
 
 def _document(r: Column, a: Column, models: Column, issues: Column, schema: ExtractionSchema,
-              error: Column | None, label: str) -> Column:
+              error: Column | None, label: Column | None) -> Column:
     given = a[schema.article_count]
     count = F.when(given >= 0, given).otherwise(F.size(models).cast("bigint"))
     derived = {
@@ -162,7 +162,7 @@ def _document(r: Column, a: Column, models: Column, issues: Column, schema: Extr
                                             _any_known(models, schema.entity_internal))}
     flagged = F.size(issues) > 0
     if error is not None:
-        note = F.substring(F.concat(F.lit(f"{label}: "), text.norm_text(error)), 1, NOTE_CHARS)
+        note = F.substring(F.concat(label, F.lit(": "), text.norm_text(error)), 1, NOTE_CHARS)
         derived[schema.article_notes] = F.when(error.isNotNull(), note).otherwise(
             a[schema.article_notes])
     article = F.struct(*[derived.get(f.name, a[f.name]).alias(f.name)
@@ -177,11 +177,23 @@ def _document(r: Column, a: Column, models: Column, issues: Column, schema: Extr
                     confidence.alias("normalization"), flags.alias("quality_flags"))
 
 
-# Expressions per session and parameters.  They name their inputs, so one tree serves every
-# frame; building it takes thousands of calls into the JVM.
+SOURCE_FIELDS = ("pmid", "title", "journal", "pub_date", "country")
+
+# One expression per session and schema, over inputs of fixed names.  Building it takes
+# thousands of calls into the JVM, so every caller shares it.
 _BUILT: dict[tuple, Column] = {}
 
 
+def _built(df: DataFrame, schema: ExtractionSchema) -> Column:
+    key = (id(df.sparkSession.sparkContext), repr(schema))
+    if key not in _BUILT:
+        given = F.col("_in")
+        _BUILT[key] = F.inline(F.array(extraction(
+            given["raw"], {c: text.norm_text(given[c]) for c in SOURCE_FIELDS}, schema,
+            given["error"], given["label"])))
+    return _BUILT[key]
+
+
 def normalize(df: DataFrame, schema: ExtractionSchema = DEFAULT_SCHEMA, *, raw: str = "raw",
               error: str | None = None, error_label: str = "primary_failed") -> DataFrame:
     """Add ``doc`` and ``issues`` to rows that hold source columns and a VARIANT ``raw``.
@@ -189,15 +201,14 @@ def normalize(df: DataFrame, schema: ExtractionSchema = DEFAULT_SCHEMA, *, raw:
     Source columns ``pmid, title, journal, pub_date, country`` are used where present.
     Rows where the ``error`` column is set get the empty template with the error as note.
     """
-    names = tuple(c for c in ("pmid", "title", "journal", "pub_date", "country")
-                  if c in df.columns)
-    key = (id(df.sparkSession.sparkContext), repr(schema), names, raw, error, error_label)
-    if key not in _BUILT:
-        _BUILT[key] = F.inline(F.array(extraction(
-            F.col(raw), {c: text.norm_text(c) for c in names}, schema,
-            None if error is None else F.col(error), error_label)))
+    nothing = F.lit(None).cast("string")
+    keep = [c for c in df.columns if c not in ("doc", "issues")]
+    given = F.struct(
+        F.col(raw).alias("raw"), (F.col(error) if error else nothing).alias("error"),
+        F.lit(error_label).alias("label"),
+        *[(F.col(c) if c in keep else nothing).alias(c) for c in SOURCE_FIELDS])
     # a one-row inline keeps filters on the document above its computation
-    return df.select(*[c for c in df.columns if c not in ("doc", "issues")], _BUILT[key])
+    return (df.select(*keep, given.alias("_in")).select(*keep, _built(df, schema)))
 
 
 def needs_review(doc: Column | str = "doc", threshold: int = REVIEW_THRESHOLD,
