@@ -156,12 +156,12 @@ def answers(spark: SparkSession, sf: str) -> DataFrame:
         k.alias("k"), _c().alias("c")), F.col("k"), F.col("c"))
 
 
-_BODIES: dict[int, Column] = {}
+_BODIES: dict[str, Column] = {}
 
 
 def with_answers(df: DataFrame, k: Column, c: Column) -> DataFrame:
     """Add the answer text ``content``; every 23rd answer is cut off."""
-    session = id(df.sparkSession.sparkContext)
+    session = df.sparkSession.sparkContext.applicationId
     if session not in _BODIES:
         _BODIES[session] = answer_body(F.col("_k"), F.col("_c"))
     keyed = df.select("*", k.alias("_k"), c.alias("_c"))

@@ -185,7 +185,7 @@ _BUILT: dict[tuple, Column] = {}
 
 
 def _built(df: DataFrame, schema: ExtractionSchema) -> Column:
-    key = (id(df.sparkSession.sparkContext), repr(schema))
+    key = (df.sparkSession.sparkContext.applicationId, repr(schema))
     if key not in _BUILT:
         given = F.col("_in")
         _BUILT[key] = F.inline(F.array(extraction(

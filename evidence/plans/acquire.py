@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import chunks, records, screen
-from ..schema import (CHUNK_ROWS, CORPUS_EXCLUDED_TYPES, CORPUS_GROUPS, CORPUS_YEARS, SHARD_ROWS)
+from ..schema import (ARTICLE_TYPE, CHUNK_ROWS, CORPUS_EXCLUDED_TYPES, CORPUS_GROUPS, CORPUS_YEARS,
+                      SHARD_ROWS)
 from ..sources import article_xml
 
 
@@ -28,4 +29,5 @@ def acquire_xml(spark: SparkSession, source: str, target: str, rows: int = SHARD
     """XML folder to chunked JSON lines; returns the manifest."""
     chunked = acquire(article_xml.read_article_xml(spark, source), **options)
     chunks.write_chunks(chunked, target, rows)
-    return spark.read.json(target).groupBy("chunk_id").count()
+    written = spark.read.schema(f"{ARTICLE_TYPE}, chunk_id string").json(target)
+    return chunks.manifest(written)

@@ -9,7 +9,7 @@ from evidence.functions import jsontext
 from evidence.functions.text import computed
 from evidence.operators import analysis, chunks, prompts, records, screen
 from evidence.operators.normalize import needs_review, normalize
-from evidence.plans import extract, prescreen, report
+from evidence.plans import acquire, extract, prescreen, report
 from evidence.schema import (DEFAULT_SCHEMA, DIAGNOSTIC_ADDED, DIAGNOSTIC_RENAMES, SCORE_KEYS,
                              PrefilterRules)
 from evidence.sources import article_xml, jsonl, sinks
@@ -224,6 +224,18 @@ def test_xml_files(spark, tmp_path):
     assert lead["title"] == "A "
 
 
+def test_acquire_from_xml(spark, tmp_path):
+    one = ("<PubmedArticle><MedlineCitation><PMID>{0}</PMID><Article><Journal><JournalIssue><PubDate><Year>2020</Year>"
+           "<Month>{1}</Month></PubDate></JournalIssue></Journal><ArticleTitle>{2}</ArticleTitle></Article>"
+           "</MedlineCitation></PubmedArticle>\n")
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.xml").write_text("<PubmedArticleSet>" + "".join(
+        one.format(i % 30, "Jan" if i % 2 else "Feb", "Risk models in patients" if i % 30 < 20 else "Other")
+        for i in range(60)) + "</PubmedArticleSet>")
+    got = acquire.acquire_xml(spark, str(tmp_path / "in"), str(tmp_path / "out"), rows=5, max_rows=12)
+    assert {r["chunk_id"]: r["n"] for r in got.collect()} == {"2020-01": 10, "2020-02": 10}
+
+
 def test_chunks_conserve_rows_and_split_hot_days(spark):
     dates = ["2020-01-05"] * 900 + [f"2020-02-{d:02d}" for d in range(1, 29)] * 10 + ["2021"] * 5 + [None, "1999-01-01"]
     df = spark.createDataFrame([(str(i), d) for i, d in enumerate(dates)], "pmid string, pub_date string")
