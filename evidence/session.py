@@ -19,8 +19,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
-# To be given when the session is built: no Python call site per expression node, which
-# makes building the large normalisation plan faster.
+# To be given when the session is built: no Python call site per expression node, of
+# which the normalisation plan has thousands.
 STATIC_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
