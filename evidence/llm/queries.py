@@ -7,8 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidence.llm import line_dedup, mixing, quality, sentence_spans
+from evidence.llm import (
+    decontaminate,
+    language_id,
+    line_dedup,
+    mixing,
+    quality,
+    sentence_spans,
+    token_files,
+)
 from evidence.llm.base import table
+from evidence.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -116,3 +125,57 @@ def op8_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 def op9_sentence_spans(spark: SparkSession, sf: str) -> DataFrame:
     """Sentences that a repeated run of three covers are removed but for the first run."""
     return sentence_spans.drop_repeated_spans(table(spark, sf, "documents"))
+
+
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file on the machine that asks."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@bound()
+def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Language of every text, learned from the documents that are not held out."""
+    docs = table(spark, sf, "documents")
+    model = language_id.train(docs, vocabulary("piece_bpe_32k.model"))
+    return language_id.predict(docs, model)
+
+
+@bound()
+def op3_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's place in the token files, read back from them."""
+    folder = shared_folder(spark, "tokens")
+    token_files.write(table(spark, sf, "documents"), folder, vocabulary("word_bpe_49k.json"))
+    return token_files.read(spark, folder)
+
+
+@bound(r"""
+WITH low AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+             FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+      FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), 10) AS n,
+               array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS k
+        FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+grams AS (SELECT doc_id, n,
+            unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS k,
+            unnest(range(1, len(w) - n + 2)) AS i
+          FROM low, sizes WHERE len(w) >= n),
+found AS (SELECT g.doc_id, g.i, g.n, win.item_id FROM grams g JOIN win ON g.n = win.n AND g.k = win.k),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+        FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id),
+item AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids
+         FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS x FROM found) GROUP BY doc_id)
+SELECT low.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM low LEFT JOIN hit ON low.doc_id = hit.doc_id LEFT JOIN item ON low.doc_id = item.doc_id""")
+def op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Words of each document inside ten words running of a benchmark item."""
+    found = decontaminate.scan(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
