@@ -11,6 +11,7 @@ from evidence.llm import (
     decontaminate,
     language_id,
     line_dedup,
+    minhash,
     mixing,
     quality,
     sentence_spans,
@@ -179,3 +180,24 @@ def op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@bound(r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS g FROM w),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+link AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+         JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+         WHERE 100 * least(x.n, y.n) >= 85 * greatest(x.n, y.n)
+         GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT c.doc_id, coalesce(n, 0) AS n_shingles, component_id, c.doc_id = component_id AS kept
+FROM c LEFT JOIN n ON c.doc_id = n.doc_id""")
+def op6_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups of documents whose sets of three-word shingles are 85 % alike."""
+    found = minhash.groups(table(spark, sf, "documents"), width=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id",
+                        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
