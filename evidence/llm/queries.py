@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidence.llm import (
+    chat,
     decontaminate,
     language_id,
     line_dedup,
@@ -201,3 +202,15 @@ def op6_minhash(spark: SparkSession, sf: str) -> DataFrame:
     found = minhash.groups(table(spark, sf, "documents"), width=3, percent=85)
     return found.select("doc_id", "n_shingles", "component_id",
                         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+@bound("""
+WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+c AS (SELECT conv_id, count(*) AS n, list('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10)
+             ORDER BY turn NULLS FIRST) AS m FROM t GROUP BY conv_id),
+once AS (SELECT min(conv_id) AS conv_id, n, m FROM c GROUP BY n, m),
+inner_ AS (SELECT DISTINCT m[1:k] AS p FROM (SELECT m, unnest(range(1, n)) AS k FROM once))
+SELECT conv_id, n AS n_turns, array_to_string(m, '') AS rendered FROM once ANTI JOIN inner_ ON once.m = inner_.p""")
+def op1_chat_format(spark: SparkSession, sf: str) -> DataFrame:
+    """The conversations that are no snapshot of a longer one, rendered."""
+    return chat.render(table(spark, sf, "conversations"))
