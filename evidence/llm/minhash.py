@@ -170,14 +170,14 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
     return both.mapInArrow(work, "a binary, b binary")
 
 
-def unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
+def unsettled(members: DataFrame, labels: DataFrame, stage: Stage) -> DataFrame:
     """bucket, class, label, n of the buckets in which members other than the leader are of
     different components."""
-    named = members.join(labels.select(F.col("node").alias("class"), "label"), "class", "left") \
-        .select("bucket", "class", F.coalesce("label", "class").alias("label"))
+    named = stage(members.join(labels.select(F.col("node").alias("class"), "label"), "class", "left")
+                  .select("bucket", "class", F.coalesce("label", "class").alias("label")))
     open_ = named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
                                         F.count("*").alias("n")).filter("lo != hi")
-    return named.join(open_.select("bucket", "n"), "bucket")
+    return named.join(stage(open_.select("bucket", "n")), "bucket")
 
 
 def compared(members: DataFrame, classes: DataFrame, percent: int, hashes: int, miss: float) -> DataFrame:
@@ -252,20 +252,22 @@ def groups(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, hashes
         F.any_value("n_shingles").alias("n_shingles"), first.alias("first"),
         F.any_value("signature").alias("signature")).select("class", "n_shingles", "first.*", "signature"))
     members = bands(classes, band_rows(percent, hashes, miss), hashes)
-    shared = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("class").alias("leader")).filter("n > 1")
+    # aggregates are written before they are joined: a join right on top of one cannot be split
+    shared = stage(members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("class").alias("leader"))
+                   .filter("n > 1"))
     members = stage(members.join(shared, "bucket"))
     led = members.filter("class != leader").select(F.col("leader").alias("a"), F.col("class").alias("b")).distinct()
     survivors = stage(plausible(led, classes, percent, hashes, miss))
     links = stage(verified(survivors, classes, docs, width, percent))
     labels = components(links, stage)
-    rest = stage(unsettled(members.filter("class != leader AND n > 2").select("bucket", "class"), labels))
+    rest = stage(unsettled(members.filter("class != leader AND n > 2").select("bucket", "class"), labels, stage))
     more = stage(compared(rest, classes, percent, hashes, miss))
     if not more.isEmpty():
         links = stage(links.union(verified(more, classes, docs, width, percent)))
         labels = components(links, stage)
     named = classes.join(labels.toDF("class", "label"), "class", "left") \
         .select("class", F.coalesce("label", "class").alias("label"), F.struct("no_id", *ROW).alias("first"))
-    firsts = named.groupBy("label").agg(F.min("first").alias("head"))
+    firsts = stage(named.groupBy("label").agg(F.min("first").alias("head")))
     heads = named.join(firsts, "label").select("class", "head")
     out = sets.join(heads, "class", "left")
     return out.select(

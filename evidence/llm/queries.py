@@ -16,6 +16,7 @@ from evidence.llm import (
     mixing,
     quality,
     sentence_spans,
+    suffix_dedup,
     token_files,
 )
 from evidence.llm.base import table
@@ -214,3 +215,11 @@ SELECT conv_id, n AS n_turns, array_to_string(m, '') AS rendered FROM once ANTI
 def op1_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     """The conversations that are no snapshot of a longer one, rendered."""
     return chat.render(table(spark, sf, "conversations"))
+
+
+@bound()
+def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Bytes covered by a string of 100 that starts earlier are removed."""
+    kept = suffix_dedup.remove_repeats(table(spark, sf, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans",
+                       F.sha2(F.col("kept"), 256).alias("kept_sha256"))
