@@ -187,6 +187,12 @@ def sorted_page(spark, sf):
     return chunks.page(rows, ["o_orderdate", "pmid"], start=700, size=300).select("pmid")
 
 
+@bound(f"SELECT pmid FROM (SELECT {_BY_TEXT} AS pmid, o_orderdate FROM orders ORDER BY o_orderdate, pmid LIMIT 12000 OFFSET 100)")
+def large_page(spark, sf):
+    rows = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("pmid"), "o_orderdate")
+    return chunks.page(rows, ["o_orderdate", "pmid"], start=100, size=12000).select("pmid")
+
+
 @bound(f"""SELECT count(*) AS n, min(pmid) AS first, max(pmid) AS last, CAST(0 AS BIGINT) AS out_of_order
   FROM (SELECT {_BY_TEXT} AS pmid FROM orders)""")
 def sorted_ids(spark, sf):

@@ -404,3 +404,86 @@ def strict_scan(spark, sf):
                             schema="pmid string, title string, abstract string, journal string")
     return back.groupBy(F.col("journal").alias("shard")).agg(
         F.count("*").alias("n"), F.sum(F.char_length("abstract")).alias("chars"))
+
+
+# --- runs on disk -------------------------------------------------------------------------------
+
+def _padded(spark, sf):
+    """Order sources with padded ids."""
+    return order_sources(spark, sf).withColumn("pmid", F.concat(F.lit("  "), F.col("pmid"), F.lit(" ")))
+
+
+def _finished_run(spark, sf, base):
+    """A run over half of the orders, resumed with all of them."""
+    source, said = _padded(spark, sf), two_answers(spark, sf)
+    half = source.filter(F.trim("pmid").cast("bigint") % 2 == 0)
+    extract.run_extract(half, said, base, "r", settings=ONE_MODEL)
+    done = records.processed_ids(jsonl.read_documents(spark, f"{base}/extracted/run=r"), keep=["shard"])
+    return extract.run_extract(source, said, base, "r", done, settings=ONE_MODEL)
+
+
+@bound(f"SELECT CAST(k AS VARCHAR) AS pmid, {_SHARD} AS shard, sub, {REVIEW_SQL} AS needs_review FROM ({DOCUMENT_SQL})")
+def resumed_run(spark, sf):
+    """All documents of a run that was resumed in its own folder, each once."""
+    base = shared_folder(spark, "resumed")
+    _finished_run(spark, sf, base)
+    docs = jsonl.read_documents(spark, f"{base}/extracted/run=r")
+    return docs.select(F.trim("pmid").alias("pmid"), "shard",
+                       F.col("doc.article_level.primary_subspecialty").alias("sub"), "needs_review")
+
+
+@bound(f"""SELECT {_SHARD} AS shard, count(*) AS total, count(*) FILTER (WHERE k % 2 = 1) AS scheduled,
+    count(*) FILTER (WHERE k % 2 = 1 AND parsed) AS ok, count(*) FILTER (WHERE k % 2 = 1 AND {REVIEW_SQL}) AS review,
+    count(*) FILTER (WHERE k % 2 = 1 AND NOT parsed) AS errors FROM ({DOCUMENT_SQL}) GROUP BY ROLLUP ({_SHARD})""")
+def resumed_totals(spark, sf):
+    return _finished_run(spark, sf, shared_folder(spark, "resumed"))
+
+
+@bound(f"""SELECT {_SHARD} AS shard, count(*) AS flagged, count(*) AS scheduled, count(*) FILTER (WHERE ok2) AS ok,
+    count(*) FILTER (WHERE flag2) AS still_review, count(*) FILTER (WHERE NOT ok2) AS errors
+  FROM ({_PASSES}) WHERE flag1 GROUP BY ROLLUP ({_SHARD})""")
+def arbitration_from_disk(spark, sf):
+    """Flagged documents of a stored run go to the second model; run twice, with one result."""
+    base, source, said = shared_folder(spark, "arbitrated"), _padded(spark, sf), two_answers(spark, sf)
+    extract.run_extract(source, said, base, "r", settings=ONE_MODEL)
+    docs = jsonl.read_documents(spark, f"{base}/extracted/run=r")
+    for _ in range(2):
+        extract.run_rerun_flagged(source, docs, said, base, "r", settings=ONE_MODEL)
+    return spark.read.schema("shard string, flagged long, scheduled long, ok long, still_review long, errors long") \
+        .json(f"{base}/rerun_summary/run=r").drop("part")
+
+
+@bound(f"""SELECT count(*) AS both, count(*) FILTER (WHERE f.sub IS DISTINCT FROM s.sub) AS changed,
+    count(*) FILTER (WHERE f.sub IS NULL AND s.sub IS NOT NULL) AS filled,
+    count(*) FILTER (WHERE f.sub IS NOT NULL AND s.sub IS NULL) AS emptied, 'article_level.primary_subspecialty' AS field
+  FROM ({_FIRST_SQL}) f JOIN ({_SECOND_SQL}) s ON f.k + 1000 = s.k""")
+def compared_documents(spark, sf):
+    """Subspecialties of the two models' documents side by side."""
+    source, said = order_sources(spark, sf), two_answers(spark, sf)
+    one = extract.extract(source, said.filter("pass = 1"), settings=ONE_MODEL)
+    other = said.filter("pass = 2").withColumns({"model": F.lit("m1"), "pass": F.lit(1)})
+    two = extract.extract(source, other, settings=ONE_MODEL)
+    return analysis.compare_documents(one, two, ["article_level.primary_subspecialty"])
+
+
+@bound("""SELECT CASE source WHEN 'src1' THEN 'group one' WHEN 'src2' THEN 'group one' ELSE source END AS name, count(*) AS n
+  FROM documents GROUP BY 1""")
+def synonym_lookup(spark, sf):
+    listed = spark.createDataFrame([("SRC1", "group one"), ("src2 ", "group one"), ("other", "x")], "term string, canonical string")
+    return (analysis.with_synonyms(table(spark, sf, "documents").select("source"), "source", listed, "name")
+            .groupBy("name").agg(F.count("*").alias("n")))
+
+
+@bound("SELECT CAST(doc_id AS VARCHAR) AS pmid, 2 AS messages, 'ok' AS status FROM documents")
+def prompt_handoff(spark, sf):
+    """Default prompts to a folder, answers from a folder, one document for each."""
+    base, source = shared_folder(spark, "handoff"), articles(spark, sf)
+    sinks.write_prompts(extract.outgoing(source), f"{base}/prompts")
+    sent = spark.read.schema("record_key string, messages array<struct<role string,content string>>") \
+        .json(f"{base}/prompts")
+    said = sent.select(F.col("record_key").alias("pmid"), F.lit("primary").alias("model"), F.lit(1).alias("pass"),
+                       F.lit(1).alias("attempt"), F.lit(200).alias("status"), F.lit('{"article_level": {}}').alias("content"))
+    sinks.write_jsonl(said, f"{base}/answers")
+    rows = extract.extract(source, jsonl.read_responses(spark, f"{base}/answers"))
+    return rows.select("pmid", "status").join(sent.select(
+        F.col("record_key").alias("pmid"), F.size("messages").alias("messages")), "pmid")

@@ -29,6 +29,8 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Narrow rows dealt out to all cores before work that is heavy per row.
 
-    The given tables are single files, which one task would read and process alone.
+    The given tables are single files, which one task would read and process alone.  A scan
+    that has a task for each core already is left as it is.
     """
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)

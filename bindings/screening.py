@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from evidence.functions import coerce, jsontext, text
 from evidence.operators import prompts, screen
 from evidence.plans import prescreen
+from evidence.session import shared_folder
 from evidence.schema import PrefilterRules
 from evidence.sources import jsonl
 
@@ -170,6 +171,22 @@ def screened_rows(spark, sf):
         .select("pmid", "title")
 
 
+@bound(f"""SELECT outcome, written, n FROM (SELECT outcome, count(*) AS n, 'outcomes' AS written FROM ({_OUTCOMES}) GROUP BY outcome
+    UNION ALL SELECT outcome, count(*), 'screened' FROM ({_OUTCOMES}) WHERE outcome = 'included' GROUP BY outcome)""")
+def prescreen_run(spark, sf):
+    """A run over half of the articles, resumed with all of them: what its folders hold."""
+    base, source = shared_folder(spark, "prescreen"), articles(spark, sf)
+    said = screening_responses(spark, sf)
+    prescreen.run_prescreen(source.filter("doc_id % 2 = 0"), said, base, "r", RULES)
+    done = spark.read.schema("pmid string").json(f"{base}/outcomes/run=r")
+    prescreen.run_prescreen(source, said, base, "r", RULES, done, part="1")
+    outcomes = spark.read.schema("pmid string, outcome string").json(f"{base}/outcomes/run=r")
+    kept = spark.read.schema("pmid string").json(f"{base}/screened/run=r")
+    return (outcomes.groupBy("outcome").agg(F.count("*").alias("n")).withColumn("written", F.lit("outcomes"))
+            .unionByName(kept.groupBy(F.lit("included").alias("outcome")).agg(F.count("*").alias("n"))
+                         .withColumn("written", F.lit("screened"))))
+
+
 @bound("""SELECT CAST(doc_id AS VARCHAR) AS pmid,
     CASE WHEN lang = 'en' THEN TRUE ELSE FALSE END AS english,
     round(CAST(length(regexp_replace(text, '[\\x00-\\x7f]', '', 'g')) AS DOUBLE) / nullif(length(text), 0), 6) AS odd
@@ -180,7 +197,17 @@ def language_flags(spark, sf):
                                       share.alias("odd"))
 
 
-@bound()
+def _language_hits(words):
+    return f"len(regexp_extract_all(t, ' ({'|'.join(words)}) '))"
+
+
+# every character that is no part of a word becomes two blanks, so that neighbours share none
+@bound("SELECT lang, guess, count(*) AS n FROM (SELECT lang, CASE WHEN greatest(" + ", ".join(
+    f"n_{k}" for k in text.STOP_WORDS) + ") < 1 THEN NULL " + " ".join(
+    f"WHEN n_{k} = greatest({', '.join(f'n_{x}' for x in text.STOP_WORDS)}) THEN '{k}'"
+    for k in text.STOP_WORDS) + " END AS guess FROM (SELECT lang, " + ", ".join(
+    f"{_language_hits(w)} AS n_{k}" for k, w in text.STOP_WORDS.items()) + r"""
+  FROM (SELECT lang, ' ' || regexp_replace(lower(text), '[^\p{L}\p{M}\p{N}_]', '  ', 'g') || ' ' AS t FROM documents))) GROUP BY lang, guess""")
 def guessed_languages(spark, sf):
     return (articles(spark, sf).groupBy("lang", text.abstract_language("abstract").alias("guess"))
             .agg(F.count("*").alias("n")))
@@ -190,12 +217,20 @@ def guessed_languages(spark, sf):
 
 @bound("""SELECT CAST(doc_id AS VARCHAR) AS pmid, md5('PMID: ' || doc_id || chr(10) || 'Title: '
     || split_part(text, chr(10), 1) || chr(10) || 'Publication types: ' || source || chr(10)
-    || 'Abstract: ' || substr(text, 1, 3000)) AS digest FROM documents""")
+    || 'Abstract: ' || text) AS digest FROM documents""")
 def screening_prompt_texts(spark, sf):
     sent = prompts.screening_prompts(articles(spark, sf))
     return sent.select("pmid", F.md5(F.col("messages")[1]["content"]).alias("digest"))
 
 
+@bound("""SELECT CAST(doc_id AS VARCHAR) AS pmid, md5('PMID: ' || doc_id || chr(10) || 'Title: '
+    || split_part(text, chr(10), 1) || chr(10) || 'Publication types: ' || source || chr(10)
+    || 'Abstract: ' || substr(text, 1, 3000)) AS digest FROM documents""")
+def screening_prompt_texts_cut(spark, sf):
+    sent = prompts.screening_prompts(articles(spark, sf), limit=3000)
+    return sent.select("pmid", F.md5(F.col("messages")[1]["content"]).alias("digest"))
+
+
 _NORM = r"trim(regexp_replace({}, '[\s\x0b\x1c-\x1f\x{{85}}\x{{a0}}\x{{2000}}-\x{{200a}}\x{{3000}}]+', ' ', 'g'))"
 _TEMPLATE = "Id <<PMID>> in <<JOURNAL>> of <<PUB_DATE>>: <<TITLE>> (<<KEYWORDS>>; <<MESH_TERMS>>; <<PUBLICATION_TYPES>>)\n<<ABSTRACT>>\nend"
 

@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text
 from ..schema import CALL_TOKENS, DEFAULT_SCHEMA, SCORE_KEYS, TOTAL_KEY, ExtractionSchema, Field
 
 
@@ -118,7 +119,8 @@ def table1(art: DataFrame, ent: DataFrame | None = None,
     """Study characteristics per subspecialty.
 
     ``n_models`` counts article rows, as the guide does; with ``ent`` the entities of the
-    articles are counted too, as ``n_entities``.  Counts add up per id before the join, so
+    articles are counted too, as ``n_entities``: those of each id once per subspecialty,
+    rows without id left out.  Counts add up per id before the join, so
     the distinct count and the entity count share their shuffle on the id.
     """
     group = schema.article_group
@@ -129,8 +131,10 @@ def table1(art: DataFrame, ent: DataFrame | None = None,
         .alias("external_validation_pct"),
         F.avg(score).alias("mean_quality"), F.median("year").alias("median_year"))
     if ent is not None:
-        per_id = ent.groupBy(F.col("_source_pmid").alias("pmid")).agg(F.count("*").alias("_e"))
-        per_group = (rows.select("pmid", group).join(per_id, "pmid")
+        named = F.coalesce(F.col("pmid") != "", F.lit(False))
+        per_id = (ent.select(F.col("_source_pmid").alias("pmid")).filter(named)
+                  .groupBy("pmid").agg(F.count("*").alias("_e")))
+        per_group = (rows.select("pmid", group).filter(named).distinct().join(per_id, "pmid")
                      .groupBy(group).agg(F.sum("_e").alias("n_entities")))
         table = (table.join(per_group, group, "left")
                  .withColumn("n_entities", F.coalesce("n_entities", F.lit(0))))
@@ -184,6 +188,38 @@ def adapt_entities(ent: DataFrame, renames: Mapping[str, str],
         {f.name: F.lit(None).cast(types.get(f.kind, "string")) for f in added})
 
 
+# --- comparisons and lookups ----------------------------------------------------------------
+
+def compare_documents(first: DataFrame, second: DataFrame, fields: Sequence[str],
+                      keys: Sequence[str] = ("pmid",)) -> DataFrame:
+    """Differences of two sets of documents per field: ``field, both, changed, filled, emptied``.
+
+    Documents are paired by their key; fields are dotted paths below ``doc``.  ``changed``
+    counts null as a value, ``filled`` and ``emptied`` are the changes from and to null.
+    """
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select(*[text.norm_text(k).alias(k) for k in keys],
+                         F.array(*[F.col(f"doc.{f}").cast("string") for f in fields]).alias(name))
+    pairs = side(first, "_a").join(side(second, "_b"), list(keys)).select(
+        F.inline(F.arrays_zip(F.array(*map(F.lit, fields)).alias("field"), F.col("_a"), F.col("_b"))))
+    a, b = F.col("_a"), F.col("_b")
+    return pairs.toDF("field", "_a", "_b").groupBy("field").agg(
+        F.count("*").alias("both"), F.count_if(~a.eqNullSafe(b)).alias("changed"),
+        F.count_if(a.isNull() & b.isNotNull()).alias("filled"),
+        F.count_if(a.isNotNull() & b.isNull()).alias("emptied"))
+
+
+def with_synonyms(df: DataFrame, column: str, synonyms: DataFrame, name: str = "canonical") -> DataFrame:
+    """Add the canonical term of a label; a label that is not listed is its own.
+
+    ``synonyms`` has ``term`` and ``canonical``; terms are compared as vocabulary keys, and of
+    several entries for one term the first canonical one in order counts.
+    """
+    listed = synonyms.groupBy(text.label("term").alias("_term")).agg(F.min("canonical").alias("_canonical"))
+    return (df.withColumn("_term", text.label(column)).join(listed, "_term", "left")
+            .withColumn(name, F.coalesce("_canonical", F.col(column))).drop("_term", "_canonical"))
+
+
 # --- run counters ---------------------------------------------------------------------------
 
 def run_totals(rows: DataFrame, counters: Mapping[str, Column], by: str = "shard") -> DataFrame:

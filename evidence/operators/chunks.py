@@ -11,21 +11,24 @@ from pyspark.sql import functions as F
 from ..schema import CHUNK_ROWS, CORPUS_YEARS, PAGE_ROWS, SHARD_ROWS
 from ..session import cut_lineage
 
+DEEP_ROWS = 100_000
 UNDATED = "undated"
 WHOLE = "all"
 
 
 def plan_chunks(df: DataFrame, date: str = "pub_date", max_rows: int = CHUNK_ROWS,
-                years: tuple[int, int] = CORPUS_YEARS, spread: Sequence[str] = ("pmid",)
+                years: tuple[int, int] = CORPUS_YEARS, spread: Sequence[str] | None = None
                 ) -> DataFrame:
     """Add ``chunk_id`` and ``part`` so that chunks stay near ``max_rows`` rows.
 
     One chunk if everything fits, else months, and days for months that are too big.  A
     bare year is a chunk of its own; dates outside ``years`` go to ``undated``.  A chunk
-    that is still too big is spread over hash parts.  No row is lost.
+    that is still too big is spread over hash parts of the whole row (or of ``spread``),
+    so rows that lack an id are spread too.  No row is lost.
 
-    The counts hold one row per day of the year range at most, which bounds the broadcast.
+    The counts hold one row per date of the year range; Spark broadcasts them if they are small.
     """
+    hashed = [F.col(c) for c in spread or hashable(df)]
     text = F.col(date).cast("string")
     in_range = F.coalesce(F.substring(text, 1, 4).try_cast("int").between(*years), F.lit(False))
     well_formed = F.rlike(text, F.lit(r"^\d{4}(-(0[1-9]|1[0-2])(-(0[1-9]|[12]\d|3[01]))?)?"))
@@ -50,19 +53,28 @@ def plan_chunks(df: DataFrame, date: str = "pub_date", max_rows: int = CHUNK_ROW
         F.when((F.col("_total") > max_rows) & (F.col("_month_n") > max_rows),
                F.ceil(F.col("_n") / F.lit(max_rows))).otherwise(F.lit(1)).cast("int")
         .alias("_parts"))
-    return (marked.join(F.broadcast(plan), "_day")
-            .withColumn("part", F.pmod(F.xxhash64(*spread), F.col("_parts")).cast("int"))
+    return (marked.join(plan, "_day")
+            .withColumn("part", F.pmod(F.xxhash64(*hashed), F.col("_parts")).cast("int"))
             .drop("_day", "_parts"))
 
 
+def hashable(df: DataFrame) -> list[str]:
+    """Columns that a row hash can be made of."""
+    return [f.name for f in df.schema
+            if not any(kind in f.dataType.simpleString() for kind in ("map<", "variant"))]
+
+
 def manifest(chunked: DataFrame) -> DataFrame:
     """Rows per chunk; empty chunks do not appear."""
     return chunked.groupBy("chunk_id").agg(F.count("*").alias("n"))
 
 
 def write_chunks(chunked: DataFrame, path: str, rows: int = SHARD_ROWS) -> None:
-    """One folder per chunk, at most ``rows`` records per file."""
-    (chunked.repartition("chunk_id", "part").write.mode("overwrite")
+    """One folder per chunk, at most ``rows`` records per file.
+
+    Rows are rebalanced by chunk and part: large parts are split, small ones are merged.
+    """
+    (chunked.hint("rebalance", F.col("chunk_id"), F.col("part")).write.mode("overwrite")
      .partitionBy("chunk_id").option("maxRecordsPerFile", rows)
      .option("ignoreNullFields", "false").json(path))
 
@@ -87,20 +99,26 @@ def sorted_by(df: DataFrame, *order: str | Column, tie: Sequence[str] = ("pmid",
 
 
 def page(df: DataFrame, order: Sequence[str], start: int = 0, size: int = PAGE_ROWS) -> DataFrame:
-    """One page of the sorted rows; a page holds 10,000 rows at most.
+    """One page of the sorted rows: ``size`` rows after the first ``start`` ones.
 
-    For walking through all pages number the rows once with `number_rows` instead.
+    The first pages are a top-k.  Beyond ``DEEP_ROWS`` the rows are numbered instead, so no
+    task holds all that comes before the page.
     """
-    return df.orderBy(*order).offset(start).limit(min(size, PAGE_ROWS))
+    if start + size <= DEEP_ROWS:
+        return df.orderBy(*order).offset(start).limit(size)
+    numbered = number_rows(df, order)
+    return (numbered.filter(F.col("row_no").between(start + 1, start + size))
+            .orderBy("row_no").drop("row_no"))
 
 
 def number_rows(df: DataFrame, order: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Add ``row_no`` 1..n in global order without a single-task window.
 
     Rows are ranged and sorted in their tasks and stored; the rows before each range come
-    from one count per range, a table of ``partitions`` rows, which bounds the broadcast.
-    ``order`` should end in a unique column: equal keys cannot be split.
+    from one count per range, a table of ``partitions`` rows.  A row hash ends the range key,
+    so rows of equal keys are split too; their numbers follow that hash.
     """
+    order = [*order, F.xxhash64(*hashable(df))]
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = cut_lineage(
         df.repartitionByRange(n, *order).sortWithinPartitions(*order)
@@ -109,7 +127,7 @@ def number_rows(df: DataFrame, order: Sequence[str], partitions: int | None = No
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (placed.groupBy("_range").agg(F.count("*").alias("_n"))
                .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
-    return (placed.join(F.broadcast(offsets), "_range")
+    return (placed.join(offsets, "_range")
             .withColumn("row_no", F.col("_before") + F.col("_pos") + 1)
             .drop("_range", "_pos", "_before"))
 

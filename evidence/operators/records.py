@@ -41,54 +41,68 @@ def dedupe_first(df: DataFrame, key: str = "pmid", scope: str = "shard",
     """First row per id, within a shard or overall; rows without id are all kept.
 
     ``row_number() = 1`` is turned into a group limit before the shuffle, so a key that
-    fills a third of the input sends one row per task.  A row without id is a group of
-    its own.
+    fills a third of the input sends one row per task.  Rows without id are set aside and
+    never shuffled.
     """
-    no_id = ~text.has_text(key)
-    own = F.when(no_id, F.struct(*order))
-    keys = [text.norm_text(key), own] + ([F.col("shard")] if scope == "shard" else [])
+    named = text.has_text(key)
+    keys = [text.norm_text(key)] + ([F.col("shard")] if scope == "shard" else [])
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    first = df.filter(named).withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    return first.unionByName(df.filter(~named))
 
 
 def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Right side of a semi or anti join: one row per key, empty ids left out."""
-    return df.select(*keys).filter(F.coalesce(F.col(keys[0]) != "", F.lit(False))).distinct()
+    """Right side of a semi or anti join: one row per normalised key, empty ids left out."""
+    named = df.select(text.maybe_text(keys[0]).alias("_key"), *keys[1:])
+    return named.filter("_key is not null").distinct()
+
+
+def _joined(df: DataFrame, other: DataFrame, keys: str | Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join on ids that are normalised on both sides."""
+    on = [keys] if isinstance(keys, str) else list(keys)
+    marked = df.withColumn("_key", text.norm_text(on[0]))
+    return marked.join(distinct_keys(other, on), ["_key", *on[1:]], how).select(*df.columns)
 
 
 def pending(df: DataFrame, done: DataFrame, keys: str | Sequence[str] = "pmid") -> DataFrame:
     """Rows of ``df`` whose key is not in ``done``; rows without id stay."""
-    on = [keys] if isinstance(keys, str) else list(keys)
-    return df.join(distinct_keys(done, on), on, "left_anti")
+    return _joined(df, done, keys, "left_anti")
 
 
 def selected(df: DataFrame, ids: DataFrame, keys: str | Sequence[str] = "pmid") -> DataFrame:
     """Rows of ``df`` whose key is in ``ids``."""
-    on = [keys] if isinstance(keys, str) else list(keys)
-    return df.join(distinct_keys(ids, on), on, "left_semi")
+    return _joined(df, ids, keys, "left_semi")
 
 
 def processed_ids(docs: DataFrame, schema: ExtractionSchema = DEFAULT_SCHEMA,
-                  keep: Sequence[str] = (), prefer: str = "document") -> DataFrame:
-    """Ids already written: the one in the document, else the top-level one.
+                  keep: Sequence[str] = (), prefer: str = "source") -> DataFrame:
+    """Ids already written: the source id, else the one in the document.
 
-    ``prefer="source"`` turns that round, so a wrong id inside an answer does not make the
-    record look unfinished.
+    A wrong id inside an answer thus does not make the record look unfinished;
+    ``prefer="document"`` turns that round.
     """
+    return docs.select(_id_of(docs, schema, prefer).alias("pmid"), *keep).filter("pmid is not null")
+
+
+def _id_of(docs: DataFrame, schema: ExtractionSchema, prefer: str) -> Column:
     ids = [text.norm_text(F.col("doc")[schema.article_key]["pmid"])]
     if "pmid" in docs.columns:
-        ids.append(text.norm_text("pmid"))
-    if prefer == "source":
-        ids.reverse()
-    return docs.select(text.first_text(*ids).alias("pmid"), *keep).filter("pmid is not null")
+        ids.insert(0 if prefer == "source" else 1, text.norm_text("pmid"))
+    return text.first_text(*ids)
 
 
 def flagged_ids(docs: DataFrame, threshold: int = REVIEW_THRESHOLD,
-                schema: ExtractionSchema = DEFAULT_SCHEMA, keep: Sequence[str] = ()) -> DataFrame:
-    """Ids of documents that need review."""
-    hit = docs.filter(needs_review("doc", threshold, schema))
-    return hit.select(text.norm_text(F.col("doc")[schema.article_key]["pmid"]).alias("pmid"),
-                      *keep).filter("pmid <> ''")
+                schema: ExtractionSchema = DEFAULT_SCHEMA, keep: Sequence[str] = (),
+                prefer: str = "source") -> DataFrame:
+    """Ids of documents that need review, by source id like `processed_ids`.
+
+    A stored ``needs_review`` column is used where there is one.
+    """
+    if "needs_review" in docs.columns:
+        hit = docs.filter("needs_review")
+    else:
+        hit = docs.filter(needs_review("doc", threshold, schema))
+    return hit.select(_id_of(hit, schema, prefer).alias("pmid"), *keep).filter("pmid is not null")
 
 
 def pending_shards(df: DataFrame, finished: DataFrame | None, shard: str = "file_name",
@@ -104,11 +118,14 @@ def paired_shards(df: DataFrame, other: DataFrame, shard: str = "shard") -> Data
 
 # --- attempts ------------------------------------------------------------------------------
 
-def attempt_error(status: Column, content: Column) -> Column:
-    """Error text of a failed attempt: 500 characters of a retried status, else 1,000."""
+def attempt_error(status: Column, content: Column, retried_chars: int | None = 500,
+                  other_chars: int | None = 1000) -> Column:
+    """Error text of a failed attempt, cut for notes; None for the whole text."""
     body = F.coalesce(content, F.lit(""))
-    cut = F.when(status.isin(*RETRIED_STATUS), F.substring(body, 1, 500)).otherwise(
-        F.substring(body, 1, 1000))
+
+    def part(chars: int | None) -> Column:
+        return body if chars is None else F.substring(body, 1, chars)
+    cut = F.when(status.isin(*RETRIED_STATUS), part(retried_chars)).otherwise(part(other_chars))
     return (F.when(status.isNull(), F.lit("no response"))
             .when(status != 200, F.concat(F.lit("HTTP "), status.cast("string"), F.lit(": "), cut))
             .otherwise(F.lit("Model response could not be parsed as JSON object")))
@@ -127,8 +144,9 @@ def best_attempt(responses: DataFrame,
     w = Window.partitionBy(*keys).orderBy(
         F.desc("ok"), F.when(F.col("ok"), F.col("attempt")).otherwise(-F.col("attempt")))
     return (ranked.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
-            .withColumn("error", F.when(~F.col("ok"),
-                                        attempt_error(F.col("status"), F.col("content"))))
+            .withColumns({
+                "error": F.when(~F.col("ok"), attempt_error(F.col("status"), F.col("content"))),
+                "error_text": F.when(~F.col("ok"), attempt_error(F.col("status"), F.col("content"), None, None))})
             .drop("_rn", "content"))
 
 
@@ -158,7 +176,7 @@ def attach(source: DataFrame, responses: DataFrame, model: str, pass_no: int | N
            raw: str = "raw", error: str = "error") -> DataFrame:
     """Left join source rows to the chosen attempt of one model.
 
-    A row without answer gets an error text.  The attempts of one model are ranked by id
+    A row without answer gets an error text, ``error`` cut for notes and ``error_text`` whole.  The attempts of one model are ranked by id
     alone, so ranking and join share one shuffle of the responses.
     """
     wanted = responses.filter(F.col("model") == model)
@@ -166,11 +184,15 @@ def attach(source: DataFrame, responses: DataFrame, model: str, pass_no: int | N
         wanted = wanted.filter(F.col("pass") == pass_no)
     chosen = best_attempt(wanted, ("pmid",)).select(
         F.col("pmid").alias("record_key"), F.col("raw").alias(raw),
-        F.col("error").alias("_error"))
-    message = F.concat(F.lit(f"LLM call failed, model={model}, error="),
-                       F.coalesce(F.col("_error"), F.lit("no response")))
+        F.col("error").alias("_error"), F.col("error_text").alias("_whole"))
+
+    def message(c: str) -> Column:
+        said = F.concat(F.lit(f"LLM call failed, model={model}, error="),
+                        F.coalesce(F.col(c), F.lit("no response")))
+        return F.when(F.col(raw).isNull(), said)
     return (source.join(chosen, "record_key", "left")
-            .withColumn(error, F.when(F.col(raw).isNull(), message)).drop("_error"))
+            .withColumns({error: message("_error"), f"{error}_text": message("_whole")})
+            .drop("_error", "_whole"))
 
 
 def with_prefix(items: Column, prefix: str) -> Column:

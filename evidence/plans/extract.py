@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -50,6 +51,7 @@ def outgoing(source: DataFrame, done: DataFrame | None = None,
 
 
 def _audit(mode: str, status: Column, issues: Column, extra: dict[str, Column]) -> Column:
+    """Audit record; ``error`` holds the whole error text."""
     return F.struct(
         F.col("pmid"), F.lit(mode).alias("mode"), *[c.alias(k) for k, c in extra.items()],
         status.alias("status"), issues.alias("issues"),
@@ -81,6 +83,8 @@ def extract(source: DataFrame, responses: DataFrame, done: DataFrame | None = No
         _audit("extract", F.col("status"), F.col("issues"), {
             "primary_model": F.lit(s.primary_model), "inline_second_pass": second,
             "second_pass_model": F.when(second, F.lit(s.arbitration_model)),
+            "error": F.coalesce("error_text", F.when(second, F.col("error2_text"))) if s.second_pass
+            else F.col("error_text"),
         }).alias("audit"),
         needs_review("doc", s.threshold, s.schema).alias("needs_review"))
 
@@ -123,7 +127,7 @@ def rerun_flagged(source: DataFrame, extracted: DataFrame, responses: DataFrame,
     return out.select(
         *[c for c in OUTPUT if c not in ("audit", "needs_review")],
         _audit("rerun_flagged", F.col("status"), F.col("issues"),
-               {"model": F.lit(s.arbitration_model)}).alias("audit"),
+               {"model": F.lit(s.arbitration_model), "error": F.col("error_text")}).alias("audit"),
         needs_review("doc", s.threshold, s.schema).alias("needs_review"))
 
 
@@ -150,11 +154,20 @@ def id_mismatches(rows: DataFrame, schema: ExtractionSchema = DEFAULT_SCHEMA) ->
         "pmid", inside.alias("reported_pmid"), "shard")
 
 
-def totals(rows: DataFrame, by: str = "shard") -> DataFrame:
-    """ok, review and error counts per shard and overall."""
-    return analysis.run_totals(rows, {
-        "ok": F.col("status") == "ok", "review": F.col("needs_review"),
-        "errors": F.col("status") != "ok"}, by)
+def totals(rows: DataFrame, by: str = "shard", source: DataFrame | None = None) -> DataFrame:
+    """ok, review and error counts per shard and overall.
+
+    With ``source``, ``total`` counts its rows and ``scheduled`` those that were worked on.
+    """
+    counters = {"ok": F.col("status") == "ok", "review": F.col("needs_review"),
+                "errors": F.col("status") != "ok"}
+    if source is None:
+        return analysis.run_totals(rows, counters, by)
+    both = rows.select(by, "status", "needs_review", F.lit(False).alias("_read")).unionByName(
+        source.select(by, F.lit(True).alias("_read")), allowMissingColumns=True)
+    out = analysis.run_totals(both, {
+        "_total": F.col("_read"), "scheduled": ~F.col("_read"), **counters}, by)
+    return out.drop("total").withColumnRenamed("_total", "total")
 
 
 def rerun_totals(rows: DataFrame, flagged: DataFrame) -> DataFrame:
@@ -170,29 +183,43 @@ def rerun_totals(rows: DataFrame, flagged: DataFrame) -> DataFrame:
 def run_extract(source: DataFrame, responses: DataFrame, base: str, run: str,
                 done: DataFrame | None = None, existing_review: DataFrame | None = None,
                 finished: DataFrame | None = None, force: bool = False,
-                settings: RunSettings = RunSettings()) -> DataFrame:
-    """Extract all unfinished shards, write the three streams and return the totals."""
+                settings: RunSettings = RunSettings(), part: str | None = None) -> DataFrame:
+    """Extract all unfinished shards, write the three streams and return the totals.
+
+    Every part of a run has folders of its own, which a repetition of that part replaces. A
+    resumed run (``done`` given) is a new part by default, so what was written stays; to
+    repeat a resume that broke off, name its part. Read ``<stream>/run=<run>`` for all parts.
+    """
+    if part is None:
+        part = "0" if done is None or force else uuid.uuid4().hex
     todo = records.pending_shards(source, finished, force=force)
-    rows = sinks.stage_rows(extract(todo, responses, None if force else done, settings), base, run)
+    rows = sinks.stage_rows(extract(todo, responses, None if force else done, settings), base, run, part)
     review = review_rows(rows, existing_review, settings.schema)
-    sinks.write_streams(sinks.extraction_streams(rows, review, settings.schema), base, run)
-    summary = totals(rows)
-    sinks.write_summary(summary, f"{base.rstrip('/')}/summary/run={run}")
-    return summary
+    sinks.write_streams(sinks.extraction_streams(rows, review, settings.schema), base, run, part)
+    summary = totals(rows, source=todo)
+    path = sinks.run_folder(base, "summary", run, part)
+    sinks.write_summary(summary, path)
+    return source.sparkSession.read.schema(summary.schema).json(path)
 
 
 def run_rerun_flagged(source: DataFrame, extracted: DataFrame, responses: DataFrame, base: str,
                       run: str, adjudicated: DataFrame | None = None,
                       finished: DataFrame | None = None, force: bool = False,
-                      settings: RunSettings = RunSettings()) -> DataFrame:
-    """Arbitrate all shards that have extracted output and write the adjudicated stream."""
+                      settings: RunSettings = RunSettings(), part: str | None = None) -> DataFrame:
+    """Arbitrate all shards that have extracted output and write the adjudicated stream.
+
+    Parts are as in `run_extract`; a run is resumed when ``adjudicated`` is given.
+    """
+    if part is None:
+        part = "0" if adjudicated is None or force else uuid.uuid4().hex
     todo = records.paired_shards(records.pending_shards(source, finished, force=force), extracted)
     result = rerun_flagged(todo, extracted, responses, None if force else adjudicated, settings)
-    rows = sinks.stage_rows(result, f"{base.rstrip('/')}/rerun", run)
+    rows = sinks.stage_rows(result, f"{base.rstrip('/')}/rerun", run, part)
     docs = sinks.document_columns(settings.schema)
     sinks.write_streams({"adjudicated": rows.select("pmid", *docs, "shard"),
-                         "adjudicated_audit": rows.select("audit.*", "shard")}, base, run)
+                         "adjudicated_audit": rows.select("audit.*", "shard")}, base, run, part)
     summary = rerun_totals(rows, records.flagged_ids(
         extracted, settings.threshold, settings.schema, ["shard"]))
-    sinks.write_summary(summary, f"{base.rstrip('/')}/rerun_summary/run={run}")
-    return summary
+    path = sinks.run_folder(base, "rerun_summary", run, part)
+    sinks.write_summary(summary, path)
+    return source.sparkSession.read.schema(summary.schema).json(path)

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ..operators import analysis, prompts, records, screen
 from ..schema import PrefilterRules
+from ..sources import sinks
+
+OUTCOMES = ("included", "excluded_local", "excluded_llm", "error")
 
 
 def candidates(source: DataFrame, rules: PrefilterRules = PrefilterRules(),
@@ -47,6 +50,30 @@ def screened(source: DataFrame, responses: DataFrame, rules: PrefilterRules = Pr
 
 def totals(rows: DataFrame, by: str = "shard") -> DataFrame:
     """Counts of the four outcomes per shard and overall."""
-    return analysis.run_totals(rows, {
-        o: F.col("outcome") == o for o in ("included", "excluded_local", "excluded_llm", "error")
-    }, by)
+    return analysis.run_totals(rows, {o: F.col("outcome") == o for o in OUTCOMES}, by)
+
+
+def run_prescreen(source: DataFrame, responses: DataFrame, base: str, run: str,
+                  rules: PrefilterRules = PrefilterRules(), done: DataFrame | None = None,
+                  finished: DataFrame | None = None, force: bool = False,
+                  part: str = "0") -> DataFrame:
+    """Screen all unfinished shards; write included rows, outcomes and totals, return the totals.
+
+    Shards in ``finished`` and ids in ``done`` are skipped unless ``force``.  A part of a run
+    replaces its own folders when repeated; a resumed run takes a new ``part``.  All rows of
+    a part, screened out or not, are under ``outcomes``, which is what ``done`` is read from.
+    """
+    todo = records.pending_shards(source, finished, force=force)
+    judged = prescreen(todo, responses, rules, None if force else done)
+    rows = sinks.stage_rows(judged.select(
+        *source.columns, "record_key", "outcome", "exclude_reason",
+        F.col("answer.decision").alias("decision"), F.col("answer.reason").alias("reason")),
+        base, run, part)
+    sinks.write_streams({
+        "screened": rows.filter("outcome = 'included'").select(*source.columns),
+        "outcomes": rows.select("pmid", "record_key", "outcome", "exclude_reason", "decision",
+                                "reason", "shard")}, base, run, part)
+    summary = totals(rows)
+    path = sinks.run_folder(base, "summary", run, part)
+    sinks.write_summary(summary, path)
+    return source.sparkSession.read.schema(summary.schema).json(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,14 +32,18 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the one the cluster names for checkpoints.
+    """A new folder below the one the cluster names for checkpoints, else below the warehouse.
 
-    A temporary folder of this machine is used only where the session names none, as in
-    local tests.
+    A folder of one machine is no shared folder: without a named one, a session on a
+    cluster needs a warehouse on a file system that all executors see.
     """
     named = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
     if not named:
-        return tempfile.mkdtemp(prefix=f"evidence-{name}-")
+        named = spark.conf.get("spark.sql.warehouse.dir")
+        one_machine = named.startswith(("file:", "/"))
+        if one_machine and not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share; "
+                             f"the warehouse {named} is on this machine")
     return f"{named.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

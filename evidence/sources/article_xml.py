@@ -35,13 +35,21 @@ RECORD_TYPE = (
 def plain_markup(xml: Column, title_text: str = "full") -> Column:
     """Raw record without inline markup.
 
-    ``full`` keeps the text inside the markup; ``leading`` keeps title and abstract
-    sections only up to their first child element.
+    ``full`` drops every tag inside titles and abstract sections and keeps the text;
+    ``leading`` keeps titles and sections only up to their first child element.  Empty
+    elements written as one tag are opened and closed first.
     """
+    xml = F.regexp_replace(xml, r"<(ArticleTitle|AbstractText)\b([^<>]*)/>", "<$1$2></$1>")
     if title_text == "leading":
         return F.regexp_replace(
             xml, r"(?s)(<(ArticleTitle|AbstractText)\b[^>]*>[^<]*)<(?!/\2\b).*?(</\2>)", "$1$3")
-    return F.regexp_replace(xml, rf"</?(?:{'|'.join(INLINE_TAGS)})(?:\s[^>]*)?/?>", "")
+    # cut before and behind these elements; what is left of other tags in between goes
+    parts = F.split(xml, r"(?=<(?:ArticleTitle|AbstractText)\b)|(?<=</ArticleTitle>)|(?<=</AbstractText>)")
+    texts = F.transform(parts, lambda p: F.when(
+        F.rlike(p, F.lit(r"^<(?:ArticleTitle|AbstractText)\b")),
+        F.regexp_replace(p, r"<(?!/?(?:ArticleTitle|AbstractText)\b)[^<>]*>", "")).otherwise(
+        F.regexp_replace(p, rf"</?(?:{'|'.join(INLINE_TAGS)})(?:\s[^>]*)?/?>", "")))
+    return F.array_join(texts, "")
 
 
 def _values(items: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import coerce, jsontext, text
+from ..operators.normalize import needs_review
 from ..schema import ARTICLE_TYPE, DEFAULT_SCHEMA, ExtractionSchema
 
 _FIELDS = ("struct<pmid string,title string,abstract string,journal string,pub_date string,"
@@ -20,17 +21,29 @@ def shard_of(file_name: Column | str) -> Column:
     return F.when(digits == "", stem).otherwise(digits)
 
 
+def shard_of_path(path: Column, name: str = "shard") -> Column:
+    """The value of the folder ``<name>=<value>`` in a path, null if there is none.
+
+    The folder's own escapes are escaped once more in a path.
+    """
+    value = F.regexp_extract(path, rf"/{name}=([^/]*)/", 1)
+    kept = F.try_url_decode(F.try_url_decode(F.regexp_replace(value, r"\+", "%252B")))
+    return F.when(value != "", F.when(kept != "__HIVE_DEFAULT_PARTITION__", kept))
+
+
 def with_file_position(lines: DataFrame) -> DataFrame:
     """Add file name, shard and reading order within the file.
 
     ``ord`` grows within one block of one file, so (file_name, block_start, ord) is the
-    reading order, whichever task read the block.
+    reading order, whichever task read the block.  The shard is the one a sink wrote the file
+    for, else it comes from the file's name.
     """
     return lines.select(
-        "*", F.col("_metadata.file_name").alias("file_name"),
+        *[c for c in lines.columns if c != "shard"], F.col("_metadata.file_path").alias("_path"),
+        F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("ord"),
-    ).withColumn("shard", shard_of("file_name"))
+    ).withColumn("shard", F.coalesce(shard_of_path(F.col("_path")), shard_of("file_name"))).drop("_path")
 
 
 def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -89,25 +102,32 @@ def articles(scan: DataFrame) -> DataFrame:
     a = F.col("_a")
     texts = ("pmid", "title", "abstract", "journal", "pub_date", "doi", "country")
     return text.computed(scan, {"_a": F.try_variant_get("v", "$", _FIELDS)}).select(
-        *[a[c].alias(c) for c in texts],
+        text.norm_text(a["pmid"]).alias("pmid"), *[a[c].alias(c) for c in texts[1:]],
         *[_text_items(a[c]).alias(c) for c in ("publication_types", "keywords", "authors")],
         _mesh_items(a["mesh_terms"]).alias("mesh_terms"), *position)
 
 
 def read_documents(spark: SparkSession, path: str | list[str], glob: str = "*.json*",
                    schema: ExtractionSchema = DEFAULT_SCHEMA) -> DataFrame:
-    """Extraction documents written earlier: ``doc`` in the type of the schema."""
+    """Extraction documents written earlier: ``doc`` in the type of the schema.
+
+    ``needs_review`` is the stored flag, computed where a file has none.
+    """
     scan = read_jsonl(spark, path, glob)
-    return scan.select(F.try_variant_get("v", "$", schema.doc_type()).alias("doc"),
+    docs = scan.select(F.try_variant_get("v", "$", schema.doc_type()).alias("doc"),
                        F.try_variant_get("v", "$.pmid", "string").alias("pmid"),
+                       F.try_variant_get("v", "$.needs_review", "boolean").alias("needs_review"),
                        "shard", "file_name")
+    return docs.withColumn("needs_review", F.coalesce(
+        "needs_review", needs_review("doc", schema=schema)))
 
 
 def read_responses(spark: SparkSession, path: str | list[str], glob: str = "*.json*") -> DataFrame:
     """Response table written by whoever ran the prompts."""
     typed = F.try_variant_get("v", "$", "struct<pmid string,model string,pass int,"
                                         "attempt int,status int,content string>")
-    return (read_jsonl(spark, path, glob).select(typed.alias("r")).select("r.*"))
+    return (read_jsonl(spark, path, glob).select(typed.alias("r")).select("r.*")
+            .withColumn("pmid", text.norm_text("pmid")))
 
 
 def split_levels(docs: DataFrame, schema: ExtractionSchema = DEFAULT_SCHEMA,

@@ -31,9 +31,10 @@ def write_by_shard(df: DataFrame, path: str, shard: str = "shard", mode: str = "
                    rows: int | None = None) -> None:
     """One folder per shard.
 
-    Rows stay in the task that holds them, so a large shard is written by many tasks.
+    Rows are rebalanced by shard: a large shard is written by many tasks, small ones share a
+    task, so files are few.
     """
-    writer = df.write.mode(mode).partitionBy(shard).option("ignoreNullFields", "false")
+    writer = df.hint("rebalance", F.col(shard)).write.mode(mode).partitionBy(shard).option("ignoreNullFields", "false")
     if rows:
         writer = writer.option("maxRecordsPerFile", rows)
     writer.json(path)
@@ -49,26 +50,38 @@ def extraction_streams(rows: DataFrame, review: DataFrame,
                        schema: ExtractionSchema = DEFAULT_SCHEMA) -> dict[str, DataFrame]:
     """The three outputs of one run: extracted, review and audit."""
     docs = document_columns(schema)
-    return {"extracted": rows.select("pmid", *docs, "shard"),
+    return {"extracted": rows.select("pmid", *docs, "needs_review", "shard"),
             "review": review.select("pmid", *docs, "shard"),
             "audit": rows.select("audit.*", "shard")}
 
 
-def stage_rows(rows: DataFrame, base: str, run: str) -> DataFrame:
+def run_folder(base: str, name: str, run: str, part: str | None = None) -> str:
+    """Where one run (or one part of it) keeps a stream."""
+    path = f"{base.rstrip('/')}/{name}/run={run}"
+    return path if part is None else f"{path}/part={part}"
+
+
+def stage_rows(rows: DataFrame, base: str, run: str, part: str | None = None) -> DataFrame:
     """Rows of one run as a stored table, computed once for all sinks that follow.
 
-    Writing replaces the folder of that run, so a repeated run leaves no double rows, and
-    a lost executor costs a re-read instead of a re-run.
+    Writing replaces the folder of that part of the run, so a repeated part leaves no double
+    rows, and a lost executor costs a re-read instead of a re-run.
     """
-    path = f"{base.rstrip('/')}/rows/run={run}"
+    path = run_folder(base, "rows", run, part)
     rows.write.mode("overwrite").parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def write_streams(streams: dict[str, DataFrame], base: str, run: str) -> None:
-    """One folder per stream and run, shards inside."""
+def write_streams(streams: dict[str, DataFrame], base: str, run: str,
+                  part: str | None = None) -> None:
+    """One folder per stream, run and part, shards inside."""
     for name, df in streams.items():
-        write_by_shard(df, f"{base.rstrip('/')}/{name}/run={run}", mode="overwrite")
+        write_by_shard(df, run_folder(base, name, run, part), mode="overwrite")
+
+
+def write_prompts(prompts: DataFrame, path: str) -> None:
+    """Prompt table for whoever runs the prompts; `jsonl.read_responses` takes the answers in."""
+    write_jsonl(prompts, path, mode="overwrite")
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -82,5 +95,5 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 
 
 def write_summary(df: DataFrame, path: str) -> None:
-    """Run summary; a handful of rows per run."""
-    write_jsonl(df, path)
+    """Run summary, a row per shard; a repeated part of a run replaces its own."""
+    write_jsonl(df, path, mode="overwrite")

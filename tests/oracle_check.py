@@ -5,7 +5,9 @@ python tests/oracle_check.py [sf-dir] [name ...]
 
 import math
 import pathlib
+import shutil
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, str(pathlib.Path(__file__).resolve().parents[1]))
@@ -71,7 +73,10 @@ def main():
     from pyspark.sql import SparkSession
     args = sys.argv[1:]
     sf = args.pop(0) if args and args[0].startswith("/") else "/root/testdata/sf0.01"
+    scratch = tempfile.mkdtemp(prefix="oracle-")
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+             .config("spark.checkpoint.dir", f"file://{scratch}/shared")
+             .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
              .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g")
              .config("spark.ui.showConsoleProgress", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
@@ -91,6 +96,8 @@ def main():
         print(f"{'ok ' if diff is None else 'BAD'} {name} {time.time() - t:.1f}s"
               f"{'' if name in sqls else ' (rows only)'}{'' if diff is None else ' ' + diff}", flush=True)
     print("bad:", bad)
+    spark.stop()
+    shutil.rmtree(scratch, ignore_errors=True)
 
 
 if __name__ == "__main__":

@@ -171,8 +171,9 @@ def test_run_and_resume(spark, tmp_path):
     rows = [(r["record_key"], "primary", 1, 1, 200, json.dumps(answer(article_level={}))) for r in keyed.collect()]
     responses = spark.createDataFrame(rows, records.RESPONSE_TYPE)
     totals = extract.run_extract(source, responses, str(tmp_path), "r1").collect()
-    assert {(r["shard"], r["total"], r["ok"], r["errors"]) for r in totals} == {("a", 4, 4, 0), (None, 4, 4, 0)}
-    docs = jsonl.read_documents(spark, f"{tmp_path}/extracted/run=r1/*")
+    assert {(r["shard"], r["total"], r["scheduled"], r["ok"], r["errors"]) for r in totals} == {
+        ("a", 5, 4, 4, 0), (None, 5, 4, 4, 0)}
+    docs = jsonl.read_documents(spark, f"{tmp_path}/extracted/run=r1")
     assert docs.count() == 4
     done = records.processed_ids(docs)
     assert sorted(r[0] for r in done.collect()) == ["1", "2"]
