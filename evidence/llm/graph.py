@@ -4,12 +4,20 @@ from __future__ import annotations
 
 import uuid
 
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evidence.session import shared_folder
 
 
+def store(uri: str) -> tuple[pafs.FileSystem, str]:
+    """File system and path of a folder; ``file:/x`` is the same as ``file:///x``."""
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = uri.removeprefix("file:")
+    return pafs.FileSystem.from_uri(uri)
+
+
 class Stage:
     """Tables of one run in a folder of the cluster's shared store.
 
@@ -19,11 +27,22 @@ class Stage:
 
     def __init__(self, spark, name: str):
         self.spark, self.folder = spark, shared_folder(spark, name)
+        self.held: list[tuple[DataFrame, str]] = []
 
     def __call__(self, df: DataFrame) -> DataFrame:
         path = f"{self.folder}/{uuid.uuid4().hex}"
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.held.append((out, path))
+        return out
+
+    def free(self, *frames: DataFrame) -> None:
+        """Delete tables of this run that nothing will read again."""
+        for frame in frames:
+            for own, path in [x for x in self.held if x[0] is frame]:
+                fs, at = store(path)
+                fs.delete_dir(at)
+                self.held.remove((own, path))
 
 
 def components(edges: DataFrame, stage: Stage) -> DataFrame:

@@ -78,6 +78,18 @@ def segments(text: bytes, length: int) -> Iterator[tuple[np.ndarray, np.ndarray,
         yield h[place[start]].view(np.int64), base + start, stop - start + length - 1, place[start] - start
 
 
+def numbered(docs: DataFrame, stage: Stage) -> DataFrame:
+    """doc_id, text_hash, text; the hash is 0 but for ids that several texts share.
+
+    A constant takes no room in the many rows that name their document.
+    """
+    d = keyed(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
+    shared = stage(d.groupBy("doc_id").agg(F.min("text_hash").alias("lo"), F.max("text_hash").alias("hi"))
+                   .filter("lo <> hi").select(F.col("doc_id").alias("__id"), F.lit(True).alias("__shared")))
+    return d.join(shared, d["doc_id"].eqNullSafe(shared["__id"]), "left").select(
+        "doc_id", F.when(F.col("__shared"), F.col("text_hash")).otherwise(F.lit(0)).alias("text_hash"), "text")
+
+
 def placed(docs: DataFrame, length: int) -> DataFrame:
     """One row per segment: document, start, size, at, anchor, content (hash of its bytes)."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,8 +112,7 @@ def placed(docs: DataFrame, length: int) -> DataFrame:
                      pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32)),
                      pa.array(at.astype(np.int32)), pa.array(anchor), pa.array(content)],
                     names=["doc_id", "text_hash", "start", "size", "at", "anchor", "content"])
-    d = keyed(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
-    return d.mapInArrow(work, f"{PLACED}, anchor long, content long")
+    return docs.mapInArrow(work, f"{PLACED}, anchor long, content long")
 
 
 def with_texts(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
@@ -114,8 +125,7 @@ def with_texts(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array([len(t) for t in texts], pa.int64()),
                  pa.array([codec.compress(t, asbytes=True) if t else b"" for t in texts], pa.binary())],
                 names=["doc_id", "text_hash", "n_bytes", "packed"])
-    d = keyed(docs).withColumn("doc_id", F.col("doc_id").cast("long")) \
-        .mapInArrow(pack, "doc_id long, text_hash long, n_bytes long, packed binary")
+    d = docs.mapInArrow(pack, "doc_id long, text_hash long, n_bytes long, packed binary")
     own = lists.withColumnsRenamed({"doc_id": "__id", "text_hash": "__hash"})
     return d.join(own, d["doc_id"].eqNullSafe(own["__id"]) & (d["text_hash"] == own["__hash"]), how) \
         .drop("__id", "__hash")
@@ -144,9 +154,7 @@ def cut_out(docs: DataFrame, live: DataFrame) -> DataFrame:
                  *[pa.array([x[c] for x in rows], pa.int32()) for c in ("start", "size", "at")],
                  pa.array([x["anchor"] for x in rows], pa.int64()), pa.array(cut, pa.binary())],
                 names=["doc_id", "text_hash", "start", "size", "at", "anchor", "bytes"])
-    # a row of the same id and text again adds nothing
-    both = with_texts(docs, lists, "inner").dropDuplicates(list(ROW))
-    return both.mapInArrow(work, f"{PLACED}, anchor long, bytes binary")
+    return with_texts(docs, lists, "inner").mapInArrow(work, f"{PLACED}, anchor long, bytes binary")
 
 
 def transform(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -219,9 +227,15 @@ def repeated_in(texts: list[bytes], place: np.ndarray, length: int) -> np.ndarra
         same[a:b] = (joined[whole[a:b, None] + span] == joined[whole[a - 1:b - 1, None] + span]).all(axis=1)
     owner = np.repeat(np.arange(len(size)), size)[whole]
     order = np.lexsort((place[owner, 1] + inner[whole], place[owner, 0], np.cumsum(~same)))
-    first = np.concatenate([[True], np.diff(np.cumsum(~same)[order]) != 0]) if len(order) else order
     out = np.zeros(len(joined), bool)
-    out[whole[order[~first]]] = True
+    if len(order):
+        kind = np.cumsum(~same)[order]
+        heads = np.concatenate([[True], np.diff(kind) != 0])
+        head = order[np.flatnonzero(heads)[np.cumsum(heads) - 1]]
+        # a row that is there again has its strings at the same place, which is no earlier one
+        later = (place[owner[order], 0] != place[owner[head], 0]) \
+            | (place[owner[order], 1] + inner[whole[order]] != place[owner[head], 1] + inner[whole[head]])
+        out[whole[order[later]]] = True
     return out
 
 
@@ -302,36 +316,45 @@ def hot_strings(cut: DataFrame, length: int, stage: Stage) -> DataFrame:
                 names=["doc_id", "text_hash", "start", "name"])
     every = stage(cut.mapInArrow(work, "doc_id long, text_hash long, start int, name binary"))
     place = F.struct(*ROW, "start")
-    firsts = stage(every.groupBy("name").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-                   .filter(~F.col("first").eqNullSafe(F.col("last"))).drop("last"))
+    firsts = stage(every.groupBy("name").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+                   .filter("n > 1").drop("n"))
     return every.join(firsts, "name").filter(~place.eqNullSafe(F.col("first"))) \
         .select(*ROW, "start", (F.col("start") + length).alias("stop"))
 
 
 def repeated_intervals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, text_hash, start, stop of removals, in bytes; they may overlap."""
+    """doc_id, text_hash, start, stop of removals, in bytes; they may overlap.
+
+    docs: as ``numbered`` gives them.
+    """
     stage = Stage(docs.sparkSession, "suffix")
     place = F.struct(*ROW, "start")
-    every = stage(placed(docs, length))
-    shared = stage(every.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"))
-    every = stage(every.join(shared, "anchor"))
-    kinds = stage(every.groupBy(*SEGMENT_KEYS).agg(F.min(place).alias("first"), F.max(place).alias("last")))
-    again = kinds.filter(~F.col("first").eqNullSafe(F.col("last"))).drop("last")
-    copies = every.join(stage(again), list(SEGMENT_KEYS)).filter(~place.eqNullSafe(F.col("first"))) \
-        .select(*ROW, "start", (F.col("start") + F.col("size")).alias("stop"))
+    all_ = stage(placed(docs, length))
+    shared = stage(all_.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"))
+    every = stage(all_.join(shared, "anchor"))
+    stage.free(all_, shared)
+    kinds = stage(every.groupBy(*SEGMENT_KEYS).agg(F.min(place).alias("first"), F.count("*").alias("n")))
+    again = kinds.filter("n > 1").drop("n")
+    copies = stage(every.join(again, list(SEGMENT_KEYS)).filter(~place.eqNullSafe(F.col("first")))
+                   .select(*ROW, "start", (F.col("start") + F.col("size")).alias("stop")))
+    stage.free(every)
     mixed = stage(kinds.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1"))
-    live = stage(kinds.join(mixed, "anchor").select("anchor", "size", "at", "first.*", "n"))
+    live = stage(kinds.drop("n").join(mixed, "anchor").select("anchor", "size", "at", "first.*", "n"))
+    stage.free(kinds, mixed)
     hot = live.filter(F.col("n") > HOT)
-    found = copies.unionByName(judged(cut_out(docs, live.filter(F.col("n") <= HOT)), length))
+    found = stage(judged(cut_out(docs, live.filter(F.col("n") <= HOT)), length)).unionByName(copies)
     if not hot.isEmpty():
         found = found.unionByName(hot_strings(cut_out(docs, hot), length, stage))
-    return stage(found)
+    return found
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (bytes) of every row."""
-    lists = repeated_intervals(docs, length).groupBy(*ROW).agg(
-        F.collect_set(F.struct("start", "stop")).alias("gone"))
+    stage = Stage(docs.sparkSession, "suffix")
+    docs = numbered(docs, stage)
+    # a list is as long as its text at most; it is written so that it is joined by itself
+    lists = stage(repeated_intervals(docs, length).groupBy(*ROW).agg(
+        F.collect_set(F.struct("start", "stop")).alias("gone")))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
