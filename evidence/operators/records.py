@@ -41,14 +41,14 @@ def dedupe_first(df: DataFrame, key: str = "pmid", scope: str = "shard",
     """First row per id, within a shard or overall; rows without id are all kept.
 
     ``row_number() = 1`` is turned into a group limit before the shuffle, so a key that
-    fills a third of the input sends one row per task.  Rows without id are set aside and
-    never shuffled.
+    fills a third of the input sends one row per task.  A row without id is numbered and so
+    a group of its own, whatever its content; the source is read once.
     """
-    named = text.has_text(key)
-    keys = [text.norm_text(key)] + ([F.col("shard")] if scope == "shard" else [])
+    own = F.when(~text.has_text(key), F.monotonically_increasing_id())
+    keys = [text.norm_text(key), F.col("_own")] + ([F.col("shard")] if scope == "shard" else [])
     w = Window.partitionBy(*keys).orderBy(*order)
-    first = df.filter(named).withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-    return first.unionByName(df.filter(~named))
+    return (df.withColumn("_own", own).withColumn("_rn", F.row_number().over(w))
+            .filter("_rn = 1").drop("_rn", "_own"))
 
 
 def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
