@@ -9,8 +9,8 @@
    ``miss`` are given up. Survivors are verified exactly on their full sets.
 4. Buckets whose members are not yet one component are looked at again: every pair of
    classes of different components, other than those with the leader, is compared inside a
-   task, in blocks of bounded size; no pair is emitted but survivors. This is the exact way
-   for what leaders miss, so no link is lost.
+   task, in blocks of bounded size; only links that join something are emitted. This is the
+   exact way for what leaders miss, so no link is lost.
 5. Components of all links give the groups.
 
 The number of rows per band is the largest for which a pair at the threshold shares no band
@@ -41,7 +41,7 @@ PERCENT = 80
 HASHES = 120
 BATCH = 24
 MISS = 1e-6
-BLOCK = 1024
+BLOCK = 512
 SEED = 20
 SIGNED = "doc_id long, text_hash long, n_shingles long, class binary, signature binary"
 
@@ -146,24 +146,33 @@ def plausible(pairs: DataFrame, classes: DataFrame, percent: int, hashes: int, m
     return both.mapInArrow(work, "a binary, b binary")
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
-    wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "class")
+def full_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """class, own: the sorted shingle hashes of each wanted class, made from its first document."""
     held = classes.join(wanted, "class").select("class", F.col("doc_id").alias("__id"),
                                                 F.col("text_hash").alias("__hash"))
     d = keyed(docs)
     texts = d.join(held, d["doc_id"].eqNullSafe(held["__id"]) & (d["text_hash"] == held["__hash"])) \
         .select("class", "text").dropDuplicates(["class"])
-    both = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b").select("a", "b", "ta", "tb")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            on, name, one = [], None, None
-            for k in range(batch.num_rows):
-                a, b = (batch.column(c)[k].as_py() for c in ("a", "b"))
-                if a != name:
-                    name, one = a, shingles(batch.column("ta")[k].as_py().encode(), width)
-                two = shingles(batch.column("tb")[k].as_py().encode(), width)
+            for a in range(0, batch.num_rows, 256):
+                part = batch.slice(a, 256)
+                own = [shingles(t.as_py(), width).tobytes() for t in part.column("text").cast(pa.binary())]
+                yield pa.RecordBatch.from_arrays([part.column("class"), pa.array(own, pa.binary())],
+                                                 names=["class", "own"])
+    return texts.mapInArrow(work, "class binary, own binary")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets are similar enough."""
+    both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            on = []
+            for sa, sb in zip(batch.column("sa"), batch.column("sb"), strict=True):
+                one, two = (np.frombuffer(x.as_buffer(), np.uint64) for x in (sa, sb))
                 common = len(np.intersect1d(one, two, assume_unique=True))
                 on.append(100 * common >= percent * (len(one) + len(two) - common))
             yield batch.select(["a", "b"]).filter(pa.array(on, pa.bool_()))
@@ -180,41 +189,67 @@ def unsettled(members: DataFrame, labels: DataFrame, stage: Stage) -> DataFrame:
     return named.join(stage(open_.select("bucket", "n")), "bucket")
 
 
-def compared(members: DataFrame, classes: DataFrame, percent: int, hashes: int, miss: float) -> DataFrame:
-    """Pairs of different labels in a bucket that survive, compared in blocks inside tasks."""
+def compared(members: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, hashes: int,
+             miss: float) -> DataFrame:
+    """Links between different labels of a bucket, compared in blocks inside tasks.
+
+    A task keeps track of what its links have joined and emits only links that join more,
+    fewer than it has rows.
+    """
     bounds = least_matches(percent, hashes, miss)
     n_blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("class"), n_blocks).cast("int")
     # a block meets each block: of each pair of blocks (i <= j) both are sent to one place
-    dealt = members.withColumn("own", own).withColumn(
+    dealt = members.withColumn("block", own).withColumn(
         "other", F.explode(F.sequence(F.lit(0), n_blocks - 1))).select(
-        "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        "own", "class", "label")
-    sides = dealt.join(classes.select("class", "n_shingles", "signature"), "class")
+        "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        "block", "class", "label")
+    sides = dealt.join(classes.select("class", "signature"), "class").join(sets, "class")
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = sides.repartition(parts, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "class")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in groups_of(batches, ("bucket", "i", "j")):
-            s = matrix(group.column("signature"), hashes)
-            label = np.unique(np.array(group.column("label").to_pylist(), object), return_inverse=True)[1]
-            size = group.column("n_shingles").to_numpy()
-            block = group.column("own").to_numpy()
-            across = group.column("i")[0].as_py() != group.column("j")[0].as_py()
-            for k in range(len(s) - 1):
-                rest = np.arange(k + 1, len(s))
-                rest = rest[(label[rest] != label[k]) & ((block[rest] != block[k]) | (not across))
-                            & (100 * np.minimum(size[rest], size[k]) >= percent * np.maximum(size[rest], size[k]))]
-                if len(rest):
-                    hit = rest[alike(s[rest], np.broadcast_to(s[k], (len(rest), hashes)), bounds)]
-                    if len(hit):
-                        name = group.column("class")
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([name[k].as_py()] * len(hit), pa.binary()),
-                             pa.array(name.take(pa.array(hit)).to_pylist(), pa.binary())], names=["a", "b"])
+        small = (part for batch in batches for part in (batch.slice(a, 256) for a in range(0, batch.num_rows, 256)))
+        for group in groups_of(small, ("bucket", "i", "j")):
+            name = group.column("class").to_pylist()
+            links = [(name[a], name[b]) for a, b in block_links(group, percent, hashes, bounds)]
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.binary()) for k in (0, 1)],
+                                                 names=["a", "b"])
     return ordered.mapInArrow(work, "a binary, b binary").distinct()
 
 
+def block_links(group: pa.Table, percent: int, hashes: int,
+                bounds: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Verified links of a group of rows that join what is not joined yet."""
+    s = matrix(group.column("signature"), hashes)
+    label = np.unique(np.array(group.column("label").to_pylist(), object), return_inverse=True)[1]
+    block = group.column("block").to_numpy()
+    across = group.column("i")[0].as_py() != group.column("j")[0].as_py()
+    own = [np.frombuffer(x, np.uint64) for x in group.column("own").to_pylist()]
+    size = np.array([len(x) for x in own])
+    stop = np.cumsum(size)
+    start = stop - size
+    number = np.unique(np.concatenate(own), return_inverse=True)[1]
+    present = np.zeros(int(number.max()) + 1, bool)
+    for k in range(len(s) - 1):
+        rest = np.arange(k + 1, len(s))
+        rest = rest[(label[rest] != label[k]) & ((block[rest] != block[k]) | (not across))
+                    & (100 * np.minimum(size[rest], size[k]) >= percent * np.maximum(size[rest], size[k]))]
+        if not len(rest):
+            continue
+        rest = rest[alike(s[rest], np.broadcast_to(s[k], (len(rest), hashes)), bounds)]
+        mine = number[start[k]:stop[k]]
+        present[mine] = True
+        for b in rest.tolist():
+            if label[b] != label[k]:
+                common = int(np.count_nonzero(present[number[start[b]:stop[b]]]))
+                if 100 * common >= percent * (size[k] + size[b] - common):
+                    yield k, b
+                    label[label == label[b]] = label[k]
+        present[mine] = False
+
+
 def groups_of(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
     """Consecutive rows of equal keys, also across batches."""
     held: list[pa.RecordBatch] = []
@@ -258,13 +293,14 @@ def groups(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, hashes
     members = stage(members.join(shared, "bucket"))
     led = members.filter("class != leader").select(F.col("leader").alias("a"), F.col("class").alias("b")).distinct()
     survivors = stage(plausible(led, classes, percent, hashes, miss))
-    links = stage(verified(survivors, classes, docs, width, percent))
+    wanted = members.filter("class != leader").select("class").union(members.select("leader")).distinct()
+    full = stage(full_sets(docs, classes, wanted, width))
+    links = stage(verified(survivors, full, percent))
     labels = components(links, stage)
     rest = stage(unsettled(members.filter("class != leader AND n > 2").select("bucket", "class"), labels, stage))
-    more = stage(compared(rest, classes, percent, hashes, miss))
+    more = stage(compared(rest, classes, full, percent, hashes, miss))
     if not more.isEmpty():
-        links = stage(links.union(verified(more, classes, docs, width, percent)))
-        labels = components(links, stage)
+        labels = components(links.union(more), stage)
     named = classes.join(labels.toDF("class", "label"), "class", "left") \
         .select("class", F.coalesce("label", "class").alias("label"), F.struct("no_id", *ROW).alias("first"))
     firsts = stage(named.groupBy("label").agg(F.min("first").alias("head")))
