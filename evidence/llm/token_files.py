@@ -8,8 +8,9 @@ entry per range, with the running sum of ids before each (its base) and the null
 lead it. Names carry the attempt, so a task that is run again never touches another's file,
 and files that the manifest does not list are not part of the set.
 
-Encoding is per white-space separated word, which this tokenizer family cannot merge across;
-a worker remembers words up to a bound and then starts anew, so its memory does not grow.
+Encoding is per white-space separated word, which this tokenizer cannot merge across, and
+punctuation behind a letter is encoded by itself, as the tokenizer does. A worker process
+remembers words up to a bound, over all its tasks, and then starts anew.
 
 Only the manifest (one entry per range) passes the driver. Readers map local files into
 memory; other stores that pyarrow knows are read by file.
@@ -22,8 +23,10 @@ an empty manifest and no file. Extra columns are left out.
 from __future__ import annotations
 
 import json
+import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,44 +35,94 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from evidence.llm.base import keyed
+from evidence.llm.graph import store
 
 END_ID = 1
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 2_000_000
+TOGETHER = 256
+#: ends that the tokenizer splits from a letter before them
+TAIL = b",.!?;:"
 ROWS_OUT = 8192
+TEXTS = 128
 MANIFEST = "part int, stem string, n_docs long, n_null long, n_ids long"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
-def store(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri)
-
-
 class WordEncoder:
-    """Ids of a UTF-8 text as bytes in the file's integer type."""
+    """Ids of UTF-8 texts as bytes in the file's integer type."""
 
     def __init__(self, tokenizer_file: str, remembered: int = REMEMBERED_WORDS):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.dtype = id_type(self.tokenizer.get_vocab_size())
+        self.code = "H" if self.dtype == "<u2" else "I"
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.last = np.zeros(self.tokenizer.get_vocab_size(), bool) if suffix else None
+        for token, number in self.tokenizer.get_vocab().items() if suffix else ():
+            self.last[number] = token.endswith(suffix)
         self.known: dict[bytes, bytes] = {}
         self.remembered = remembered
 
     def learn(self, words: set[bytes]) -> None:
-        new = list(words)
+        parts = {w: stem_and_tail(w) for w in words}
+        new = list({p for pair in parts.values() for p in pair if p}.difference(self.known))
+        self.known[b""] = b""
+        if self.last is not None:
+            new = self.learn_letters(new)
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         for at in range(0, len(new), 20_000):
             some = new[at:at + 20_000]
             done = encode([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, self.dtype).tobytes())
+            self.known.update((w, struct.pack(f"<{len(e)}{self.code}", *e.ids))
                               for w, e in zip(some, done, strict=True))
+        self.known.update((w, self.known[a] + self.known[b]) for w, (a, b) in parts.items())
+
+    def learn_letters(self, words: list[bytes]) -> list[bytes]:
+        """Learn words of letters many at a time, cut where a token ends a word; returns the rest."""
+        plain, rest = [], []
+        for w in words:
+            (plain if w.isalpha() or w.decode("utf-8", "replace").isalpha() else rest).append(w)
+        groups = [plain[a:a + TOGETHER] for a in range(0, len(plain), TOGETHER)]
+        texts = [b" ".join(g).decode("utf-8", "replace") for g in groups]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, self.dtype)
+            stops = ((np.flatnonzero(self.last[ids]) + 1) * ids.itemsize).tolist()
+            if len(stops) != len(group):  # lower case made more than letters of one of them
+                rest += group
+                continue
+            raw = ids.tobytes()
+            self.known.update((w, raw[a:b]) for w, a, b in zip(group, [0, *stops[:-1]], stops, strict=True))
+        return rest
 
-    def encode(self, text: bytes) -> bytes:
-        words = text.split()
+    def encode(self, texts: list[bytes]) -> list[bytes]:
         if len(self.known) > self.remembered:
             self.known.clear()
-        if missing := set(words).difference(self.known):
+        split = [t.split() for t in texts]
+        found = [list(map(self.known.get, words)) for words in split]
+        open_ = [k for k, ids in enumerate(found) if None in ids]
+        missing = {w for k in open_ for w, ids in zip(split[k], found[k], strict=True) if ids is None}
+        if missing:
             self.learn(missing)
-        return b"".join(map(self.known.__getitem__, words))
+        for k in open_:
+            found[k] = map(self.known.__getitem__, split[k])
+        return [b"".join(ids) for ids in found]
+
+
+def stem_and_tail(word: bytes) -> tuple[bytes, bytes]:
+    """Two parts of a word that encode apart; the stem in lower case where that is sure to be
+    what the tokenizer makes of it."""
+    if word.isalpha():
+        return word.lower(), b""
+    stem = word.rstrip(TAIL)
+    if not stem or not stem.decode("utf-8", "replace")[-1].isalpha():
+        return word, b""
+    return (stem.lower() if stem.isascii() and stem.isalpha() else stem), word[len(stem):]
+
+
+@lru_cache(maxsize=1)
+def loaded(file: str) -> WordEncoder:
+    """One encoder per worker process."""
+    return WordEncoder(file)
 
 
 def id_type(vocabulary: int) -> str:
@@ -81,7 +134,7 @@ def write(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int = END_I
     spark = docs.sparkSession
 
     def partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer_file)
+        encoder = loaded(tokenizer_file)
         end = np.array([end_id], encoder.dtype).tobytes()
         width = len(end)
         fs, path = store(folder)
@@ -94,15 +147,16 @@ def write(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int = END_I
             if not files:
                 files = {k: fs.open_output_stream(f"{path}/{stem}.{k}") for k in ("bin", "idx", "doc")}
                 files["idx"].write(np.zeros(1, "<u8").tobytes())
-            ids = batch.column("doc_id")
-            n_null += ids.null_count
-            files["doc"].write(ids.cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
+            named = batch.column("doc_id")
+            n_null += named.null_count
+            files["doc"].write(named.cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
                                .astype("<i8").tobytes())
             lengths = np.empty(batch.num_rows, np.uint64)
-            for k, text in enumerate(batch.column("text").cast(pa.binary())):
-                out = encoder.encode(text.as_py() or b"") + end
-                lengths[k] = len(out) // width
-                files["bin"].write(out)
+            texts = batch.column("text").cast(pa.binary())
+            for a in range(0, len(texts), TEXTS):
+                ids = encoder.encode([t.as_py() or b"" for t in texts.slice(a, TEXTS)])
+                lengths[a:a + len(ids)] = [len(x) // width + 1 for x in ids]
+                files["bin"].write(end.join([*ids, b""]))
             offsets = np.cumsum(lengths, dtype=np.uint64) + np.uint64(n_ids)
             files["idx"].write(offsets.astype("<u8").tobytes())
             n_docs, n_ids = n_docs + batch.num_rows, int(offsets[-1])
@@ -119,8 +173,7 @@ def write(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int = END_I
     ordered = keyed(docs).repartitionByRange(parts, "doc_id", "text_hash") \
         .sortWithinPartitions("doc_id", "text_hash", "text").select("doc_id", "text")
     rows = sorted(ordered.mapInArrow(partition, MANIFEST).collect())
-    from tokenizers import Tokenizer
-    kind, base, listed = id_type(Tokenizer.from_file(tokenizer_file).get_vocab_size()), 0, []
+    kind, base, listed = loaded(tokenizer_file).dtype, 0, []
     for r in rows:
         listed.append({**r.asDict(), "base": base})
         base += r["n_ids"]
