@@ -7,8 +7,8 @@ expected use of each piece over all segmentations of a language's words, weighed
 the words occur.
 
 Training reads a bounded sample, ``sample_rows`` labelled documents of each language (the
-smallest hashes); its word counts are a Spark aggregation, each EM step a pass over distinct
-words whose partial sums (languages x vocabulary at most) are added up by Spark. Prediction
+smallest hashes, found without moving a text); its word counts are a Spark aggregation, each
+EM step a pass over distinct words whose partial sums (languages x vocabulary at most) are added up by Spark. Prediction
 is one pass over all texts without a shuffle: a worker scores each new word once, all
 segmentations of thousands of words at a time, and remembers words up to a bound.
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -30,12 +31,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidence.llm.base import words
+from evidence.llm.graph import Stage
 
-SAMPLE_ROWS = 1500
+SAMPLE_ROWS = 1000
 ROUNDS = 2
 SMOOTHING = 0.1
 MAX_LANGUAGES = 1000
-REMEMBERED_BYTES = 48 << 20
+REMEMBERED_BYTES = 96 << 20
 UNDETERMINED = "und"
 SPACE = "▁"
 PREDICTED = "doc_id long, held_out boolean, lang_pred string, score double"
@@ -111,6 +113,12 @@ class Vocabulary:
                        (end_in_word * 32 + length)[order], heads, heads + sizes, len(chars) + len(some))
 
 
+@lru_cache(maxsize=1)
+def loaded(file: str) -> Vocabulary:
+    """One per worker process, whatever number of tasks it runs."""
+    return Vocabulary(file)
+
+
 @dataclass
 class Lattice:
     """Edges source -> target with a piece each, ordered by where they end in their word."""
@@ -164,31 +172,39 @@ class Model:
     vocabulary_file: str
 
 
-def training_rows(docs: DataFrame, sample_rows: int) -> DataFrame:
-    """lang, text of the sample: the documents with the smallest hashes of each language."""
+def training_rows(docs: DataFrame, sample_rows: int, stage: Stage) -> DataFrame:
+    """lang, text of the sample: the documents with the smallest hashes of each language.
+
+    The hashes are ranked alone (Spark limits each task's part of a language first); the
+    largest one taken of each language then filters the texts where they are.
+    """
     own = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))) \
         .select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
-    order = Window.partitionBy("lang").orderBy("h", "text")
-    return own.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= sample_rows) \
-        .select("lang", "text")
+    order = Window.partitionBy("lang").orderBy("h")
+    ranked = own.select("lang", "h").distinct().withColumn("n", F.row_number().over(order))
+    last = stage(ranked.filter(F.col("n") <= sample_rows).groupBy("lang").agg(F.max("h").alias("last")))
+    # repeated rows have one hash, so what is left of them is bounded too
+    return own.join(last, "lang").filter("h <= last").groupBy("lang", "h").agg(
+        F.any_value("text").alias("text")).select("lang", "text")
 
 
 def train(docs: DataFrame, vocabulary_file: str, sample_rows: int = SAMPLE_ROWS,
           rounds: int = ROUNDS) -> Model:
     """Piece probabilities of each language among the labelled documents that are not held out."""
     spark = docs.sparkSession
-    counts = training_rows(docs, sample_rows).select("lang", F.explode(words(F.col("text"))).alias("word")) \
-        .groupBy("lang", "word").count().persist()
+    stage = Stage(spark, "language")
+    counts = stage(training_rows(docs, sample_rows, stage).select(
+        "lang", F.explode(words(F.col("text"))).alias("word")).groupBy("lang", "word").count())
     languages = sorted(r[0] for r in counts.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
     if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages: the model would not fit a task")
-    size = Vocabulary(vocabulary_file).size
+    size = loaded(vocabulary_file).size
     logp = np.full((len(languages), size), -np.log(size))
     for _ in range(rounds if languages else 0):
         sent = spark.sparkContext.broadcast((languages, logp))
 
         def step(frames: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
-            vocabulary = Vocabulary(vocabulary_file)
+            vocabulary = loaded(vocabulary_file)
             names, now = sent.value
             total = np.zeros(now.shape)
             for frame in frames:
@@ -205,7 +221,6 @@ def train(docs: DataFrame, vocabulary_file: str, sample_rows: int = SAMPLE_ROWS,
         now = np.full((len(languages), size), SMOOTHING)
         now[used["k"], used["piece"]] += used["used"]
         logp = np.log(now / now.sum(axis=1, keepdims=True))
-    counts.unpersist()
     return Model(languages, logp, vocabulary_file)
 
 
@@ -213,7 +228,7 @@ class Scorer:
     """Scores of texts; remembers words up to a bound."""
 
     def __init__(self, model: Model):
-        self.model, self.vocabulary = model, Vocabulary(model.vocabulary_file)
+        self.model, self.vocabulary = model, loaded(model.vocabulary_file)
         self.most = max(1000, REMEMBERED_BYTES // (8 * max(1, len(model.languages)) + 150))
         self.forget()
 
@@ -251,6 +266,13 @@ class Scorer:
         return out
 
 
+def scorer(model: Model) -> Scorer:
+    """One per worker process and model: what it has learned serves all its tasks."""
+    if not hasattr(model, "scorer"):
+        model.scorer = Scorer(model)
+    return model.scorer
+
+
 def has_letter(text: bytes | None) -> bool:
     return text is not None and any(map(str.isalpha, text.decode("utf-8", "replace")))
 
@@ -260,9 +282,9 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(sent.value)
+        own = scorer(sent.value)
         for batch in batches:
-            said = scorer.score(batch.column("text").cast(pa.binary()).to_pylist())
+            said = own.score(batch.column("text").cast(pa.binary()).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array([x[0] for x in said], pa.string()),
                  pa.array([x[1] for x in said], pa.float64())],
@@ -278,9 +300,9 @@ def keep_languages(docs: DataFrame, model: Model, languages: tuple[str, ...] | N
     at = docs.columns.index("text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(sent.value)
+        own = scorer(sent.value)
         for batch in batches:
-            said = scorer.score(batch.column(at).cast(pa.binary()).to_pylist())
+            said = own.score(batch.column(at).cast(pa.binary()).to_pylist())
             yield batch.filter(pa.array([
                 x != UNDETERMINED and (languages is None or x in languages) and p >= min_score
                 for x, p in said], pa.bool_()))
