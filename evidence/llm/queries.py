@@ -127,7 +127,7 @@ def op8_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 @bound()
 def op9_sentence_spans(spark: SparkSession, sf: str) -> DataFrame:
     """Sentences that a repeated run of three covers are removed but for the first run."""
-    return sentence_spans.drop_repeated_spans(table(spark, sf, "documents"))
+    return sentence_spans.drop_repeated_spans(table(spark, sf, "documents"), min_words=0)
 
 
 def vocabulary(name: str) -> str:

@@ -7,7 +7,7 @@ spans at run time (AQE), and only rows of numbers cross it.
 
 A sentence ends after ``.``, ``!`` or ``?`` followed by white space, and at a line break; it
 is compared without the white space at its ends. Blank pieces are no sentences and stay.
-Spans of fewer than ``min_words`` words are no evidence of copying and are left alone.
+With ``min_words`` spans of fewer words are left alone; 0 compares every span, as op9 does.
 
 Defined cases: null or empty text has no sentence and is returned as an empty text. A text of
 fewer than ``span`` sentences has no span. Repeated rows: rows of equal id and text are one
@@ -58,7 +58,7 @@ def spans(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> Data
         return F.transform(F.sequence(F.lit(0), F.size(s) - span), at)
 
     runs = held.select(*ROW, F.inline(run(F.col("s"))))
-    return runs.filter(F.col("n") >= min_words).drop("n")
+    return (runs.filter(F.col("n") >= min_words) if min_words > 0 else runs).drop("n")
 
 
 def repeated_spans(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:

@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 from helpers import OWN, PASSAGE, empty, frame, odd, odd_rows
 from pyspark.sql import functions as F
 
-from evidence.llm import line_dedup, mixing, quality, sentence_spans
+from evidence.llm import line_dedup, mixing, quality, queries, sentence_spans
 
 
 def cut(docs, **k):
@@ -78,6 +78,14 @@ def test_sentence_spans_against_brute_force(spark, sf):
     assert sum(r.n_removed > 0 for r in got.values()) > 5
 
 
+def test_op9_compares_short_sentences(spark, tmp_path):
+    rows = [(1, "Milk.\nEggs.\nBread. \nSalt.\nmine", "en", "a"), (2, "STOP!! GO!! Eggs.\nBread.\nSalt.", "en", "a"),
+            (3, "Milk.\nEggs.\nSalt.", "en", "a")]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_removed, r.kept_text) for r in queries.op9_sentence_spans(spark, str(tmp_path)).collect()}
+    assert got == {1: (0, rows[0][1]), 2: (3, "STOP!! GO!! "), 3: (0, rows[2][1])}
+
+
 def test_sentence_spans_of_odd_rows(spark):
     got = sentence_spans.drop_repeated_spans(odd(spark)).collect()
     assert len(got) == len(odd_rows())
