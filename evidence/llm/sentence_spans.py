@@ -5,12 +5,15 @@ of the smallest (doc_id, text_hash, position). Sentences that any other occurren
 removed. Spans are pre-aggregated per hash before the shuffle; the join back splits hot
 spans at run time (AQE), and only rows of numbers cross it.
 
-A sentence ends after ``.``, ``!`` or ``?`` followed by white space, and at a line break; it
-is compared without the white space at its ends. Blank pieces are no sentences and stay.
+A sentence ends after ``.``, ``!`` or ``?`` followed by white space, after a full stop of a
+script that puts none behind it (Chinese, Japanese, Arabic, Hindi and others), and at a line
+break; closing quotes and brackets belong to it. It is compared without the white space at its
+ends. Blank pieces are no sentences and stay.
 With ``min_words`` spans of fewer words are left alone; 0 compares every span, as op9 does.
 
 Defined cases: null or empty text has no sentence and is returned as an empty text. A text of
-fewer than ``span`` sentences has no span. Repeated rows: rows of equal id and text are one
+fewer than ``span`` sentences is one span of all its sentences, which only a whole text can
+repeat. Repeated rows: rows of equal id and text are one
 document, each returned with the same result (the first occurrence stays in each). Spans
 that overlap an earlier occurrence of themselves in the same document are removed too.
 """
@@ -24,7 +27,17 @@ from evidence.llm.base import ROW, WHITE, WORD, bind, keyed, same_row
 
 SPAN = 3
 MIN_WORDS = 10
-BOUNDARY = r"(?<=[.!?][\x20\x09-\x0D])|(?<=\n)"
+#: white space beyond ASCII that may follow or surround a sentence
+WIDE = r"\x85\xA0\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
+TRIMMED = WHITE + "\x85\xa0\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
+#: ends of sentences that need no white space behind them
+STOPS = "。！？｡؟۔।॥።፧၊။។៕"
+CLOSERS = r"\"'”’»)\]」』）】》"
+_GAP = rf"[\x20\x09-\x0D{WIDE}]"
+_END = rf"(?<=[.!?][{CLOSERS}]{{0,3}}{_GAP})|(?<=[{STOPS}][{CLOSERS}]{{0,3}})(?![{CLOSERS}{STOPS}])"
+_BREAK = r"(?<=[\n\x0B\x0C\x85\u2028\u2029])|(?<=\r)(?!\n)"
+# the first look-behind passes over most characters at once
+BOUNDARY = rf"(?<=[\x20\x09-\x0D{WIDE}{STOPS}{CLOSERS}])(?:{_END}|{_BREAK})"
 
 
 def pieces(text: Column) -> Column:
@@ -35,7 +48,7 @@ def pieces(text: Column) -> Column:
 def sentences(text: Column) -> Column:
     """array of (at, key, n): place among the pieces, compared text, number of words."""
     numbered = F.transform(pieces(text), lambda p, i: bind(
-        F.btrim(p, F.lit(WHITE)),
+        F.btrim(p, F.lit(TRIMMED)),
         lambda k: F.struct(i.alias("at"), F.xxhash64(k).alias("h1"),
                            F.xxhash64(F.lit(7), k).alias("h2"), F.length(k).alias("chars"),
                            F.regexp_count(k, F.lit(WORD)).alias("n"))))
@@ -44,18 +57,20 @@ def sentences(text: Column) -> Column:
 
 def spans(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
     """One row per span: row identity, at and until (pieces), h1, h2."""
-    held = keyed(docs).select(*ROW, sentences(F.col("text")).alias("s")).filter(F.size("s") >= span)
+    held = keyed(docs).select(*ROW, sentences(F.col("text")).alias("s")).filter(F.size("s") > 0)
 
     def run(s: Column) -> Column:
         def at(i: Column) -> Column:
+            # null past the end of a short text; hashes pass over nulls
             own = [F.get(s, i + k) for k in range(span)]
             total = own[0]["n"]
             for x in own[1:]:
-                total = total + x["n"]
-            return F.struct(own[0]["at"].alias("at"), own[-1]["at"].alias("until"),
+                total = total + F.coalesce(x["n"], F.lit(0))
+            return F.struct(own[0]["at"].alias("at"),
+                            F.coalesce(*[x["at"] for x in reversed(own)]).alias("until"),
                             F.xxhash64(*[x["h1"] for x in own]).alias("h1"),
                             F.xxhash64(*[x["h2"] for x in own]).alias("h2"), total.alias("n"))
-        return F.transform(F.sequence(F.lit(0), F.size(s) - span), at)
+        return F.transform(F.sequence(F.lit(0), F.greatest(F.size(s) - span, F.lit(0))), at)
 
     runs = held.select(*ROW, F.inline(run(F.col("s"))))
     return (runs.filter(F.col("n") >= min_words) if min_words > 0 else runs).drop("n")
@@ -81,7 +96,7 @@ def drop_repeated_spans(docs: DataFrame, span: int = SPAN, min_words: int = MIN_
         F.coalesce(gone["covered"], F.array().cast("array<int>")).alias("covered"))
     filled = both.select(
         "doc_id", "p", F.filter(F.transform("p", lambda x, i: F.when(
-            F.length(F.btrim(x, F.lit(WHITE))) > 0, i)), lambda i: i.isNotNull()).alias("real"),
+            F.length(F.btrim(x, F.lit(TRIMMED))) > 0, i)), lambda i: i.isNotNull()).alias("real"),
         "covered")
     # blank pieces inside a covered span stay: only sentences are removed
     lost = F.array_intersect(F.col("real"), F.col("covered"))

@@ -86,6 +86,20 @@ def test_op9_compares_short_sentences(spark, tmp_path):
     assert got == {1: (0, rows[0][1]), 2: (3, "STOP!! GO!! "), 3: (0, rows[2][1])}
 
 
+def test_op9_of_short_texts_and_other_scripts(spark, tmp_path):
+    one, han = "one line of words " * 30, "他说：“你好。”我走了。天黑了！谁知道？"
+    rows = [(1, one, "en", "a"), (2, f" {one}\n", "en", "a"), (3, f"{one} more", "en", "a"), (4, "Yes. No.", "en", "a"),
+            (5, "Yes. No.\u3000", "en", "a"), (6, "Yes.", "en", "a"), (7, "No. Yes. No. Well.", "en", "a"),
+            (8, han, "zh", "a"), (9, f"早。{han}晚。", "zh", "a"), (10, "क है। ख है। ग है।", "hi", "a"), (11, "नया। क है। ख है। ग है।", "hi", "a"),
+            (12, '"A a." "B b!" (C c?) D', "en", "a"), (13, '"X." "A a." "B b!" (C c?) Y', "en", "a"), (14, "Q.\rR.\rS\r\nT", "en", "a")]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.kept_text for r in queries.op9_sentence_spans(spark, str(tmp_path)).collect()}
+    changed = {2: "", 5: "", 9: "早。晚。", 11: "नया।", 13: '"X." Y'}
+    assert got == {r[0]: changed.get(r[0], r[1]) for r in rows}
+    n = {r.doc_id: r.n_sentences for r in sentence_spans.drop_repeated_spans(frame(spark, rows)).collect()}
+    assert (n[1], n[7], n[8], n[10], n[12], n[14]) == (1, 4, 4, 3, 4, 4)
+
+
 def test_sentence_spans_of_odd_rows(spark):
     got = sentence_spans.drop_repeated_spans(odd(spark)).collect()
     assert len(got) == len(odd_rows())
