@@ -463,7 +463,8 @@ def compared_documents(spark, sf):
     one = extract.extract(source, said.filter("pass = 1"), settings=ONE_MODEL)
     other = said.filter("pass = 2").withColumns({"model": F.lit("m1"), "pass": F.lit(1)})
     two = extract.extract(source, other, settings=ONE_MODEL)
-    return analysis.compare_documents(one, two, ["article_level.primary_subspecialty"])
+    return analysis.compare_documents(one, two, ["article_level.primary_subspecialty"]).select(
+        "field", "both", "changed", "filled", "emptied")
 
 
 @bound("""SELECT CASE source WHEN 'src1' THEN 'group one' WHEN 'src2' THEN 'group one' ELSE source END AS name, count(*) AS n

@@ -192,21 +192,32 @@ def adapt_entities(ent: DataFrame, renames: Mapping[str, str],
 
 def compare_documents(first: DataFrame, second: DataFrame, fields: Sequence[str],
                       keys: Sequence[str] = ("pmid",)) -> DataFrame:
-    """Differences of two sets of documents per field: ``field, both, changed, filled, emptied``.
+    """Differences of two sets of documents per field: ``field, both, changed, filled, emptied,
+    only_first, only_second, keyless_first, keyless_second``.
 
-    Documents are paired by their key; fields are dotted paths below ``doc``.  ``changed``
-    counts null as a value, ``filled`` and ``emptied`` are the changes from and to null.
+    Documents are paired by their key; those without one (any part empty) pair with nothing and
+    are counted apart.  Fields are dotted paths below ``doc``.  ``changed`` counts null as a
+    value, ``filled`` and ``emptied`` are the changes from and to null.
     """
-    def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select(*[text.norm_text(k).alias(k) for k in keys],
-                         F.array(*[F.col(f"doc.{f}").cast("string") for f in fields]).alias(name))
-    pairs = side(first, "_a").join(side(second, "_b"), list(keys)).select(
-        F.inline(F.arrays_zip(F.array(*map(F.lit, fields)).alias("field"), F.col("_a"), F.col("_b"))))
-    a, b = F.col("_a"), F.col("_b")
-    return pairs.toDF("field", "_a", "_b").groupBy("field").agg(
-        F.count("*").alias("both"), F.count_if(~a.eqNullSafe(b)).alias("changed"),
-        F.count_if(a.isNull() & b.isNotNull()).alias("filled"),
-        F.count_if(a.isNotNull() & b.isNull()).alias("emptied"))
+    def side(df: DataFrame, name: str, number: int) -> DataFrame:
+        named = df.select(*[text.norm_text(k).alias(k) for k in keys],
+                          F.array(*[F.col(f"doc.{f}").cast("string") for f in fields]).alias(name))
+        lone = reduce(Column.__or__, [F.col(k) == "" for k in keys])
+        # rows without key differ by side, so they never meet, and are spread by their content
+        return named.withColumns({"_lone": F.when(lone, F.lit(number)).otherwise(F.lit(0)),
+                                  "_spread": F.when(lone, F.xxhash64(name)).otherwise(F.lit(0).cast("bigint"))})
+    pairs = side(first, "_a", 1).join(side(second, "_b", 2), [*keys, "_lone", "_spread"], "full").select(
+        "_lone", F.col("_a").isNotNull().alias("_in_a"), F.col("_b").isNotNull().alias("_in_b"),
+        F.posexplode(F.array(*map(F.lit, fields))).alias("_i", "field"), "_a", "_b")
+    a, b = F.get("_a", F.col("_i")), F.get("_b", F.col("_i"))
+    both, lone = F.col("_in_a") & F.col("_in_b"), F.col("_lone")
+    return pairs.groupBy("field").agg(
+        F.count_if(both).alias("both"), F.count_if(both & ~a.eqNullSafe(b)).alias("changed"),
+        F.count_if(both & a.isNull() & b.isNotNull()).alias("filled"),
+        F.count_if(both & a.isNotNull() & b.isNull()).alias("emptied"),
+        F.count_if((lone == 0) & ~F.col("_in_b")).alias("only_first"),
+        F.count_if((lone == 0) & ~F.col("_in_a")).alias("only_second"),
+        F.count_if(lone == 1).alias("keyless_first"), F.count_if(lone == 2).alias("keyless_second"))
 
 
 def with_synonyms(df: DataFrame, column: str, synonyms: DataFrame, name: str = "canonical") -> DataFrame:

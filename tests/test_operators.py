@@ -300,3 +300,12 @@ def test_rubric_bands(spark):
     rows = [(99, 5, True), (99, 6, False), (500, 7, True), (500, 14, True), (500, 16, False), (2001, 15, True), (None, 3, None)]
     df = spark.createDataFrame(rows, "n int, s int, ok boolean")
     assert df.filter(~analysis.sample_size_in_band(F.col("n"), F.col("s")).eqNullSafe(F.col("ok"))).count() == 0
+
+
+def test_compared_documents_of_one_side_and_without_id(spark):
+    from evidence.operators import analysis
+    kind = "pmid string, doc struct<x:string>"
+    one = spark.createDataFrame([("1", ("a",)), ("2", ("a",)), (None, ("a",)), ("", ("b",))], kind)
+    two = spark.createDataFrame([("1", ("b",)), ("3", ("a",)), ("4", ("a",)), (None, ("a",))], kind)
+    got = [tuple(r) for r in analysis.compare_documents(one, two, ["x"]).collect()]
+    assert got == [("x", 1, 1, 0, 0, 1, 2, 2, 1)]
