@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from evidence.llm import (
     chat,
     decontaminate,
+    hard_negatives,
     language_id,
     line_dedup,
     minhash,
@@ -223,3 +224,27 @@ def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     kept = suffix_dedup.remove_repeats(table(spark, sf, "documents"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans",
                        F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
+@bound("""
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+             list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i]))::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id,
+       (row_number() OVER w)::INT AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+ AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 10""")
+def op11_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of other labels that score below an anchor's positives but not far below."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found = hard_negatives.mine(table(spark, sf, "embeddings"), lambda vec_id: vec_id % 100 == 0, label)
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
