@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from evidence.llm import (
     chat,
+    collocations,
     decontaminate,
     hard_negatives,
     language_id,
@@ -19,6 +20,7 @@ from evidence.llm import (
     sentence_spans,
     suffix_dedup,
     token_files,
+    toxicity,
 )
 from evidence.llm.base import table
 from evidence.session import shared_folder
@@ -248,3 +250,37 @@ def op11_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     found = hard_negatives.mine(table(spark, sf, "embeddings"), lambda vec_id: vec_id % 100 == 0, label)
     return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+@bound(r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, s, unnest(list_transform(range(1, len(w) - s + 2),
+                                            lambda i: array_to_string(w[i:i + s - 1], ' '))) AS phrase
+      FROM w, (VALUES (1), (2), (3)) v(s) WHERE len(w) >= s),
+f AS MATERIALIZED (SELECT lang, s, phrase, count(*) AS a FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE s = 1 GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE s > 1 AND a >= 10),
+l AS (SELECT lang, phrase, max(a) AS a FROM (
+        SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase
+        FROM c WHERE s = 3) GROUP BY ALL),
+k AS (SELECT c.lang, c.phrase, c.a, unnest(range(1, s)) AS k, w FROM c LEFT JOIN l ON c.lang = l.lang AND c.phrase = l.phrase
+      WHERE l.a IS NULL OR 100 * l.a < 50 * c.a),
+x AS (SELECT k.lang, k.phrase, k.a, k, h.a AS l, t.a AS r,
+             ((1000000::HUGEINT * k.a * k.a) // (h.a::HUGEINT * t.a))::BIGINT AS score
+      FROM k JOIN f h ON h.lang = k.lang AND h.phrase = array_to_string(k.w[1:k.k], ' ')
+             JOIN f t ON t.lang = k.lang AND t.phrase = array_to_string(k.w[k.k + 1:], ' ')
+      QUALIFY row_number() OVER (PARTITION BY k.lang, k.phrase ORDER BY score, k) = 1)
+SELECT x.lang, row_number() OVER o AS rank, phrase, a, l, r, n, score FROM x JOIN n ON x.lang = n.lang
+WINDOW o AS (PARTITION BY x.lang ORDER BY score DESC, a DESC, phrase) QUALIFY row_number() OVER o <= 2000""")
+def op12_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    """The phrases of each language whose parts seldom occur without each other."""
+    return collocations.mine(table(spark, sf, "documents")).drop("cut")
+
+
+@bound()
+def op13_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Toxicity of every text, learned from the labels of documents that are not held out."""
+    docs = table(spark, sf, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf, "labels")))
