@@ -50,6 +50,8 @@ SAMPLE_ROWS = 10_000
 SHORTEST, LONGEST = 3, 10
 #: an entry is this much likelier (log odds) in labelled texts; expected number of chance entries
 LEAST_WEIGHT, CHANCE = 2.0, 0.5
+#: an entry gives way to a longer one with this share of what it has beyond chance
+NEARLY = 0.9
 NEGATED_SPAN, TARGET_BEFORE, TARGET_BEHIND = 3, 4, 2
 RIDGE = 1.0
 REMEMBERED_BYTES = 16 << 20
@@ -294,8 +296,7 @@ def learn_lexicon(sample: DataFrame, totals: dict[int, int], stage: Stage) -> di
     """Fixed insults, and beginnings of words that stand in more labelled texts than chance allows.
 
     An entry needs log odds of LEAST_WEIGHT, and a binomial tail (Chernoff's bound) so small
-    that CHANCE entries of all those looked at are expected to pass it by chance. Of nested
-    entries the longest with the same counts stays, then the shortest.
+    that CHANCE entries of all those looked at are expected to pass it by chance.
     """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -324,19 +325,20 @@ def learn_lexicon(sample: DataFrame, totals: dict[int, int], stage: Stage) -> di
     known = WORDS[INSULT].split()
     # a fixed insult that clean texts use as well is none here
     common = {r.entry for r in weighed.filter(F.col("entry").isin(known) & (F.col("w") < LEAST_WEIGHT) & (F.col("c") > 2)).collect()}
-    return {w: PRIOR_LEXICAL for w in known if w not in common} | chosen({r.entry: (r.w, r.t, r.c) for r in passed.toLocalIterator()})
+    return {w: PRIOR_LEXICAL for w in known if w not in common} | chosen({r.entry: (r.w, r.t, r.c) for r in passed.toLocalIterator()}, ill / totals[0])
 
 
-def chosen(entries: dict[str, tuple[float, int, int]]) -> dict[str, float]:
-    """Of nested entries the longest with the same counts, then the shortest."""
-    least = {}
-    for entry in sorted(entries, key=len, reverse=True):
-        for n in range(SHORTEST, len(entry)):
-            if entry[:n] in entries and entries[entry[:n]][1:] == entries[entry][1:]:
-                least[entry[:n]] = entry
+def chosen(entries: dict[str, tuple[float, int, int]], odds: float) -> dict[str, float]:
+    """Of nested entries: one gives way to a longer one that holds nearly all of the labelled
+    texts it has beyond chance (odds times its clean ones); of what is left the shortest stays."""
+    def beyond(entry: str) -> float:
+        return entries[entry][1] - odds * entries[entry][2]
+
+    gives_way = {entry[:n] for entry in entries for n in range(SHORTEST, len(entry))
+                 if entry[:n] in entries and beyond(entry) >= NEARLY * beyond(entry[:n])}
     out: dict[str, float] = {}
     for entry in sorted(entries, key=lambda e: (len(e), e)):
-        if entry not in least and not any(entry[:n] in out for n in range(SHORTEST, len(entry))):
+        if entry not in gives_way and not any(entry[:n] in out for n in range(SHORTEST, len(entry))):
             out[entry] = float(entries[entry][0])
     return out
 
