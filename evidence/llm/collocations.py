@@ -49,11 +49,11 @@ WITHIN_PERCENT = 50
 TOP = 2000
 SCALE = 1_000_000
 FILTER_BITS = 27
-SLICE = 1 << 20
+SLICE = 1 << 18
 PART = 4 << 20  # a part fills a slice
-#: occurrences that a task holds before it combines them, and combined ones before it sends them
-PENDING, HELD = 1 << 20, 3 << 19
-SENT_ROWS = 1 << 16
+#: what a task holds before it combines it, and of combined rows before it sends them
+PENDING_BYTES, HELD_BYTES = 12 << 20, 24 << 20
+SENT_ROWS = 1 << 15
 SEED = 12
 MIX = np.uint64(0xD6E8FEB86659FD93)
 DELIMITER = re.compile(rb"[.,;:!?\x0A-\x0D]")
@@ -207,34 +207,45 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Slice, list[tupl
         yield Slice(texts), rows
 
 
+def combined(columns: list[np.ndarray], keys: int) -> list[np.ndarray]:
+    """One row per key: the sum of the column behind the keys, any one value of the others."""
+    if not len(columns[0]):
+        return columns
+    order = np.argsort(columns[0], kind="stable")
+    new = np.diff(columns[0][order], prepend=~columns[0][order[:1]]) != 0
+    if keys > 1 and any((np.diff(c[order]) != 0)[~new[1:]].any() for c in columns[1:keys]):
+        order = np.lexsort(columns[:keys][::-1])
+        new = np.ones(len(order), bool)
+        new[1:] = np.any([np.diff(c[order]) != 0 for c in columns[:keys]], axis=0)
+    at = np.flatnonzero(new)
+    out = [c[order[at]] for c in columns]
+    out[keys] = np.add.reduceat(columns[keys][order], at)
+    return out
+
+
 class Combined:
-    """Counts by key columns, combined before they are sent; further columns keep any one value."""
+    """Counts by key columns, combined before they are sent and bounded in bytes."""
 
     def __init__(self, keys: int):
-        self.keys, self.pending, self.size = keys, [], 0
+        self.keys, self.size = keys, 0
+        self.pending: list[list[np.ndarray]] = []
         self.held: list[np.ndarray] | None = None
 
     def add(self, *columns: np.ndarray) -> Iterator[list[np.ndarray]]:
-        """Keys, count, further columns."""
-        self.pending.append(columns)
-        self.size += len(columns[0])
-        if self.size >= PENDING:
+        """Keys, count, further columns; gives rows when too many are held."""
+        self.pending.append(combined(list(columns), self.keys))
+        self.size += sum(c.nbytes for c in self.pending[-1])
+        if self.size >= PENDING_BYTES:
             self.combine()
-            if len(self.held[0]) >= HELD:
+            if sum(c.nbytes for c in self.held) >= HELD_BYTES:
                 yield from self.rest()
 
     def combine(self) -> None:
-        every = [np.concatenate(c) for c in zip(*self.pending, *([self.held] if self.held else []), strict=True)]
-        order = np.lexsort(every[:self.keys][::-1])
-        new = np.zeros(len(order), bool)
-        new[:1] = True
-        for c in every[:self.keys]:
-            sorted_ = c[order]
-            new[1:] |= sorted_[1:] != sorted_[:-1]
-        at = np.flatnonzero(new)
-        self.held = [c[order[at]] for c in every]
-        self.held[self.keys] = np.add.reduceat(every[self.keys][order], at) if len(at) else every[self.keys]
-        self.pending, self.size = [], 0
+        sets = [*self.pending, self.held] if self.held else self.pending
+        self.pending, self.size, self.held = [], 0, None
+        columns = [np.concatenate(c) for c in zip(*sets, strict=True)]
+        del sets
+        self.held = combined(columns, self.keys)
 
     def rest(self) -> Iterator[list[np.ndarray]]:
         if self.pending:

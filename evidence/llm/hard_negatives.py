@@ -171,6 +171,11 @@ def percent(score: np.ndarray, of: int) -> np.ndarray:
     return score // 100 * of + score % 100 * of // 100
 
 
+def lower_limit(score: np.ndarray, of: int) -> np.ndarray:
+    """ceil(of * score / 100)."""
+    return -percent(-score, of)
+
+
 def best_by_slot(rows: DataFrame, block, limits, keep: int) -> DataFrame:
     """anchor, slot, score, vec_id: the first rows of another label in each slot."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,17 +207,17 @@ def limits_of(positives: pa.Table, n: int, width: int, low_percent: int, high_pe
     anchor, place, score = (positives.column(c).to_numpy() for c in ("anchor", "place", "score"))
     upper[anchor, place - 1] = percent(score, high_percent)
     open_ = score >= 0  # a negative positive's limits are the wrong way round: no score lies between
-    np.minimum.at(low, anchor[open_], -percent(-score[open_], low_percent))
+    np.minimum.at(low, anchor[open_], lower_limit(score[open_], low_percent))
     return upper, low
 
 
-def windows(slots: DataFrame, positives: DataFrame, negatives: int, low_percent: int) -> DataFrame:
+def windows(slots: DataFrame, positives: DataFrame, negatives: int) -> DataFrame:
     """The first rows of each positive's window, from the best of the slots."""
     held = slots.groupBy("anchor").agg(F.sort_array(F.collect_list(F.struct(
         F.struct((-F.col("score")).alias("down"), F.col("vec_id").alias("vec_id")).alias("at"), "slot"))).alias("best"))
     down = F.filter("best", lambda x: x["slot"] >= F.col("place") - 1)
     p = F.col("positive_score")
-    inside = F.filter(F.slice(down, 1, negatives), lambda x: -x["at"]["down"] * 100 >= p * low_percent)
+    inside = F.filter(F.slice(down, 1, negatives), lambda x: -x["at"]["down"] >= F.col("low"))
     return positives.join(held, "anchor").filter(p >= 0).select(
         "anchor_id", "positive_id", F.col("place").alias("positive_rank"), p, F.posexplode(inside).alias("k", "x")) \
         .select("anchor_id", "positive_id", "positive_rank", (F.col("k") + 1).alias("rank"),
@@ -242,9 +247,10 @@ def mine(vectors: DataFrame, is_anchor: Callable[[Column], Column], label: Colum
         own = spark.createDataFrame(pa.table({
             "anchor": same.column("anchor"), "place": same.column("place"),
             "anchor_id": pa.array(block.ids[same.column("anchor").to_numpy()]),
-            "positive_id": same.column("vec_id"), "positive_score": same.column("score")}))
+            "positive_id": same.column("vec_id"), "positive_score": same.column("score"),
+            "low": pa.array(lower_limit(same.column("score").to_numpy(), low_percent))}))
         slots = best_by_slot(rows, sent, limits, negatives)
-        out = out.unionByName(stage(windows(slots, own, negatives, low_percent)))
+        out = out.unionByName(stage(windows(slots, own, negatives)))
         sent.unpersist()
         limits.unpersist()
     stage.free(rows, anchors)
