@@ -9,9 +9,11 @@ them; everything is counted per language.
 2. Runs grow by one word per pass over the texts: a run is counted only if both runs of one
    word less were frequent. That is asked of a bitmap of 2**FILTER_BITS bits (16 MB, whatever
    the corpus), in which every frequent fingerprint is set; what it lets through by chance costs
-   a row, and nothing frequent is ever kept out.
-3. A shuffle sums up fingerprints. In the last pass each carries a pointer to one occurrence
-   (row, place, length) and the least and greatest value of a second, independent polynomial.
+   a row, and nothing frequent is ever kept out. These passes shuffle the first 40 bits of a
+   fingerprint and a count: equal ones only make a run look more frequent than it is.
+3. The last pass takes the runs that the bitmap of their own length lets through. A shuffle sums
+   up their whole fingerprints, with a pointer to one occurrence (row, place, length) and the least
+   and greatest value of a second, independent polynomial.
 4. Frequent fingerprints are read from the text at their pointers, and both polynomials are made
    again from what is read there. Fingerprints whose second values differ belong to more than
    one phrase: these are counted once more by their texts. So only frequent phrases become text.
@@ -40,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evidence.llm.base import ROW, keyed, same_row
+from evidence.llm.base import keyed
 from evidence.llm.graph import Stage
 
 LEAST = 10
@@ -48,11 +50,11 @@ LONGEST = 3
 WITHIN_PERCENT = 50
 TOP = 2000
 SCALE = 1_000_000
-FILTER_BITS = 27
+FILTER_BITS, KEY_BITS = 27, 40
 SLICE = 1 << 18
 PART = 4 << 20  # a part fills a slice
 #: what a task holds before it combines it, and of combined rows before it sends them
-PENDING_BYTES, HELD_BYTES = 12 << 20, 24 << 20
+PENDING_BYTES, HELD_BYTES = 12 << 20, 40 << 20
 SENT_ROWS = 1 << 15
 SEED = 12
 MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -148,7 +150,7 @@ class Prints:
         return self.of(self.one, run, words) & self.mask
 
     def checks(self, run: np.ndarray, words: int) -> np.ndarray:
-        return self.of(self.two, run, words)
+        return (self.of(self.two, run, words) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
     def likely(self, words: int, filters: list) -> tuple[np.ndarray, np.ndarray]:
         """Runs, with their fingerprints, that the filters of shorter runs and of this length let
@@ -256,8 +258,9 @@ class Combined:
 
 
 def texts_of(docs: DataFrame) -> DataFrame:
-    return keyed(docs, F.coalesce("lang", F.lit("und")).alias("lang")) \
-        .withColumn("doc_id", F.col("doc_id").cast("long"))
+    """row, text, lang; what shares a row key is told apart by its text."""
+    return keyed(docs, F.coalesce("lang", F.lit("und")).alias("lang")).select(
+        F.coalesce(F.col("doc_id").cast("long"), "text_hash").alias("row"), "text", "lang")
 
 
 def salted(part: Slice, rows: list) -> tuple[np.ndarray, list[str]]:
@@ -267,21 +270,21 @@ def salted(part: Slice, rows: list) -> tuple[np.ndarray, list[str]]:
 
 
 def counted(docs: DataFrame, words: int, filters: list, bits: int) -> DataFrame:
-    """lang, fp, c: occurrences of fingerprints of runs of so many words; with one word also the
-    words of each language (fp is null there, lang elsewhere)."""
+    """lang, key, c: occurrences by the first KEY_BITS of the fingerprints of runs of so many words;
+    with one word also the words of each language (key is null there, lang elsewhere)."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prints, own, totals = Prints(bits), Combined(1), Counter()
         seen = [f.value for f in filters]
 
         def sent(found: Iterator[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
-            for fp, c in found:
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(fp), pa.string()), pa.array(fp.view(np.int64)), pa.array(c)],
-                                                 names=["lang", "fp", "c"])
+            for key, c in found:
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(key), pa.string()), pa.array(key), pa.array(c)],
+                                                 names=["lang", "key", "c"])
         for part, rows in slices(batches):
             salts, langs = salted(part, rows)
             prints.over(part, salts)
             _, fp = prints.likely(words, seen)
-            yield from sent(own.add(fp, np.ones(len(fp), np.int64)))
+            yield from sent(own.add((fp >> np.uint64(64 - KEY_BITS)).view(np.int64), np.ones(len(fp), np.int64)))
             if words == 1:
                 for lang, n in zip(langs, np.bincount(part.text, minlength=len(rows)).tolist(), strict=True):
                     totals[lang] += n
@@ -289,14 +292,15 @@ def counted(docs: DataFrame, words: int, filters: list, bits: int) -> DataFrame:
         if totals:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(totals), pa.string()), pa.nulls(len(totals), pa.int64()), pa.array(list(totals.values()), pa.int64())],
-                names=["lang", "fp", "c"])
-    return docs.select("text", "lang").mapInArrow(work, "lang string, fp long, c long") \
-        .groupBy("lang", "fp").agg(F.sum("c").alias("c"))
+                names=["lang", "key", "c"])
+    return docs.select("text", "lang").mapInArrow(work, "lang string, key long, c long") \
+        .groupBy("lang", "key").agg(F.sum("c").alias("c"))
 
 
-def bitmap(prints: DataFrame) -> np.ndarray:
-    """2**FILTER_BITS bits, those of the fingerprints set; this many bytes however many there are."""
-    at = prints.select(F.shiftrightunsigned("fp", 64 - FILTER_BITS).alias("at"))
+def bitmap(prints: DataFrame, column: str, bits: int) -> np.ndarray:
+    """2**FILTER_BITS bits, those of the column's numbers (of so many bits) set; this many bytes
+    however many there are."""
+    at = prints.select(F.shiftrightunsigned(column, bits - FILTER_BITS).alias("at"))
     rows = at.groupBy(F.shiftright("at", 6).alias("cell")).agg(
         F.bit_or(F.expr("shiftleft(1L, CAST(at & 63 AS INT))")).alias("bits")).toArrow()
     cells = np.zeros(1 << (FILTER_BITS - 6), "<i8")
@@ -304,7 +308,7 @@ def bitmap(prints: DataFrame) -> np.ndarray:
     return cells.view(np.uint8)
 
 
-POINTED = "fp long, c long, words int, check long, doc_id long, text_hash long, at long, length long"
+POINTED = "fp long, c long, check int, row long, at long, length int"
 
 
 def pointed(docs: DataFrame, longest: int, filters: list, bits: int) -> DataFrame:
@@ -314,31 +318,26 @@ def pointed(docs: DataFrame, longest: int, filters: list, bits: int) -> DataFram
         seen = [f.value for f in filters]
 
         def sent(found: Iterator[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
-            for fp, check, c, words, doc_id, no_id, text_hash, at, length in found:
+            for fp, check, c, row, at, length in found:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(fp.view(np.int64)), pa.array(c), pa.array(words), pa.array(check.view(np.int64)),
-                     pa.array(doc_id, mask=no_id), pa.array(text_hash), pa.array(at), pa.array(length)],
-                    names=["fp", "c", "words", "check", "doc_id", "text_hash", "at", "length"])
+                    [pa.array(fp.view(np.int64)), pa.array(c), pa.array(check), pa.array(row), pa.array(at), pa.array(length)],
+                    names=["fp", "c", "check", "row", "at", "length"])
         for part, rows in slices(batches):
             prints.over(part, salted(part, rows)[0])
-            ids = [batch.column("doc_id")[k].as_py() for batch, k, _ in rows]
-            no_id = np.array([x is None for x in ids])
-            ids = np.array([x or 0 for x in ids], np.int64)
-            hashes = np.array([batch.column("text_hash")[k].as_py() for batch, k, _ in rows], np.int64)
+            row = np.array([batch.column("row")[k].as_py() for batch, k, _ in rows], np.int64)
             # the first text of a slice may be the rest of a longer one
             moved = np.array([base for _, _, base in rows]) - part.base
             for words in range(1, longest + 1):
                 run, fp = prints.likely(words, seen)
-                text = part.text[run]
+                text, start = part.text[run], part.start[run]
                 yield from sent(own.add(
-                    fp, prints.checks(run, words), np.ones(len(run), np.int64), np.full(len(run), words, np.int32),
-                    ids[text], no_id[text], hashes[text], part.start[run] + moved[text],
-                    part.stop[run + words - 1] - part.start[run]))
+                    fp, prints.checks(run, words), np.ones(len(run), np.int64), row[text], start + moved[text],
+                    (part.stop[run + words - 1] - start).astype(np.int32)))
         yield from sent(own.rest())
     # first() of several columns is one row's: all take the first row that comes
-    return docs.mapInArrow(work, POINTED).groupBy("fp").agg(
+    return docs.select("row", "text", "lang").mapInArrow(work, POINTED).groupBy("fp").agg(
         F.sum("c").alias("c"), F.min("check").alias("lo"), F.max("check").alias("hi"),
-        *[F.first(x).alias(x) for x in ("words", "doc_id", "text_hash", "at", "length")])
+        *[F.first(x).alias(x) for x in ("row", "at", "length")])
 
 
 PHRASES = "lang string, phrase string, words int, a long"
@@ -346,36 +345,42 @@ PHRASES = "lang string, phrase string, words int, a long"
 
 def written(docs: DataFrame, sure: DataFrame, bits: int) -> DataFrame:
     """The phrases at the pointers, where both polynomials agree with what is read there."""
-    held = sure.groupBy(*ROW).agg(F.sort_array(F.collect_list(F.struct(
-        "at", "length", "words", "fp", F.col("lo").alias("check"), "c"))).alias("found"))
-    both = docs.join(held, same_row(docs, held)).select(docs["text"], docs["lang"], held["found"])
+    held = sure.groupBy("row").agg(F.collect_list(F.struct(
+        "at", "length", "fp", F.col("lo").alias("check"), "c")).alias("found"))
+    both = docs.join(held, "row").select("text", "lang", "found")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prints = Prints(bits)
-        for batch in batches:
-            for k in range(batch.num_rows):
-                lang, found = batch.column("lang")[k].as_py(), batch.column("found")[k].values
-                at, length, words, fp, check, c = (found.field(i).to_numpy() for i in range(6))
-                base = 0
-                for text in parts(batch.column("text").cast(pa.binary())[k].as_py() or b""):
-                    part = Slice([text])
-                    prints.over(part, np.full(len(part.text), salt(lang), np.uint64))
-                    here = np.flatnonzero((at >= base) & (at < base + len(part.data)))
-                    run = np.searchsorted(part.start, at[here] - base)
-                    good = np.zeros(len(here), bool)
-                    for n in np.unique(words[here]).tolist():
-                        of = words[here] == n
-                        good[of] = (prints.prints(run[of], n).view(np.int64) == fp[here][of]) \
-                            & (prints.checks(run[of], n).view(np.int64) == check[here][of])
-                    here = here[good]
-                    data = part.data.tobytes()
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(here), pa.string()),
-                         pa.array([data[a:b] for a, b in zip((at[here] - base).tolist(), (at[here] + length[here] - base).tolist(),
-                                                             strict=True)], pa.binary()).cast(pa.string()),
-                         pa.array(words[here], pa.int32()), pa.array(c[here], pa.int64())], names=["lang", "phrase", "words", "a"])
-                    base += len(part.data)
-    # rows equal in id and text write the same phrases
+        for part, rows in slices(batches):
+            salts, langs = salted(part, rows)
+            prints.over(part, salts)
+            ends = np.append(part.base[1:], len(part.data))
+            columns, owner = [], []
+            for e, (batch, k, base) in enumerate(rows):
+                found = batch.column("found")[k].values
+                own = [found.field(i).to_numpy() for i in range(5)]
+                here = (own[0] >= base) & (own[0] < base + ends[e] - part.base[e])
+                own = [c[here] for c in own]
+                columns.append([own[0] - base + part.base[e], *own[1:]])
+                owner.append(np.full(len(own[0]), e))
+            at, length, fp, check, c = map(np.concatenate, zip(*columns, strict=True))
+            owner = np.concatenate(owner)
+            # another text under the same row key may have no word there
+            run, last = np.searchsorted(part.start, at), np.searchsorted(part.stop, at + length)
+            good = (run < len(part.start)) & (last < len(part.stop))
+            run, last = np.where(good, run, 0), np.where(good, last, 0)
+            good &= (last >= run) & (part.start[run] == at) & (part.stop[last] == at + length)
+            words = (last - run + 1).astype(np.int32)
+            for n in np.unique(words[good]).tolist():
+                of = np.flatnonzero(good & (words == n))
+                good[of] = (prints.prints(run[of], n).view(np.int64) == fp[of]) & (prints.checks(run[of], n) == check[of])
+            data, good = part.data.tobytes(), np.flatnonzero(good)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([langs[e] for e in owner[good].tolist()], pa.string()),
+                 pa.array([data[a:b] for a, b in zip(at[good].tolist(), (at[good] + length[good]).tolist(), strict=True)],
+                          pa.binary()).cast(pa.string()),
+                 pa.array(words[good]), pa.array(c[good])], names=["lang", "phrase", "words", "a"])
+    # rows of equal key and text write the same phrases
     return both.mapInArrow(work, PHRASES).groupBy("lang", "phrase").agg(F.max("words").alias("words"), F.max("a").alias("a"))
 
 
@@ -411,20 +416,20 @@ def frequent(docs: DataFrame, stage: Stage, longest: int = LONGEST, least: int =
     """(lang, phrase, words, a) of all runs of 1..longest words with a >= least, and (lang, n)."""
     spark, texts = docs.sparkSession, texts_of(docs)
     filters, totals = [], None
-    for words in range(1, max(2, longest)):
+    for words in range(1, longest + 1):
         found = counted(texts, words, filters, bits)
         if words == 1:
-            found = stage(found.filter((F.col("c") >= least) | F.col("fp").isNull()))
-            totals = found.filter(F.col("fp").isNull()).select("lang", F.col("c").alias("n"))
-        enough = found.filter(F.col("fp").isNotNull() & (F.col("c") >= least))
-        filters.append(spark.sparkContext.broadcast(bitmap(enough)))
+            found = stage(found.filter((F.col("c") >= least) | F.col("key").isNull()))
+            totals = found.filter(F.col("key").isNull()).select("lang", F.col("c").alias("n"))
+        enough = found.filter(F.col("key").isNotNull() & (F.col("c") >= least))
+        filters.append(spark.sparkContext.broadcast(bitmap(enough, "key", KEY_BITS)))
     every = stage(pointed(texts, longest, filters, bits).filter(F.col("c") >= least))
     sure, collided = every.filter("lo = hi"), every.filter("lo <> hi")
     out = stage(written(texts, sure, bits))
     if out.count() != sure.count():
         raise RuntimeError("a pointer does not lead to its phrase: the table changed while it was read")
     if not collided.isEmpty():
-        suspects = spark.sparkContext.broadcast(bitmap(collided))
+        suspects = spark.sparkContext.broadcast(bitmap(collided, "fp", 64))
         out = stage(out.unionByName(counted_by_text(texts, collided, suspects, longest, filters, least, bits)))
     return out, totals
 
