@@ -2,7 +2,7 @@
 
 Every stage takes the documents that the one before it kept and, but for the last, returns
 them with the columns of ``documents``. Rows without letters or with an uncertain language
-go (language_id), one row of each group of near copies stays (near_dedup), documents that
+go, unless no language could be learned (language_id), one row of each group of near copies stays (near_dedup), documents that
 hold a benchmark passage go (decontamination), sources are repeated or thinned out to their
 weights (mixing), and what is left is written as token files and read back (token_files).
 
@@ -20,15 +20,15 @@ from evidence.llm.graph import Stage
 from evidence.llm.queries import vocabulary
 from evidence.session import shared_folder
 
-#: four learned languages give 0.25 by chance; only texts without evidence stay below this
-MIN_SCORE = 0.3
+#: only texts without evidence stay below so many times the score that chance gives
+TIMES_CHANCE = 1.2
 
 ORACLE_SQL = None
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language_id.train(docs, vocabulary("piece_bpe_32k.model"))
-    return language_id.keep_languages(docs, model, min_score=MIN_SCORE)
+    return language_id.keep_languages(docs, model, times_chance=TIMES_CHANCE)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -38,6 +38,10 @@ ROUNDS = 2
 SMOOTHING = 0.1
 MAX_LANGUAGES = 1000
 REMEMBERED_BYTES = 96 << 20
+#: a dictionary entry, a bytes object without what it holds, and a number
+ENTRY_BYTES = 165
+LATTICE_CHARS = 150_000
+SLICE = 256
 UNDETERMINED = "und"
 SPACE = "▁"
 PREDICTED = "doc_id long, held_out boolean, lang_pred string, score double"
@@ -225,46 +229,63 @@ def train(docs: DataFrame, vocabulary_file: str, sample_rows: int = SAMPLE_ROWS,
 
 
 class Scorer:
-    """Scores of texts; remembers words up to a bound."""
+    """Scores of texts; remembers words up to a bound in bytes."""
 
     def __init__(self, model: Model):
         self.model, self.vocabulary = model, loaded(model.vocabulary_file)
-        self.most = max(1000, REMEMBERED_BYTES // (8 * max(1, len(model.languages)) + 150))
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.values = np.zeros((0, len(self.model.languages)))
+        self.values = np.zeros((1024, len(self.model.languages)))
+        self.size = 0
 
     def learn(self, new: list[bytes]) -> None:
-        done = [self.values]
-        for a in range(0, len(new), 20_000):
-            lattice = self.vocabulary.lattice([w.decode("utf-8", "replace") for w in new[a:a + 20_000]])
-            done.append(lattice.forward(self.model.logp)[lattice.tails])
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
-        self.values = np.concatenate(done)
+        at = 0
+        while at < len(new):
+            # a lattice takes memory for every character of its words
+            stop, chars = at, 0
+            while stop < len(new) and (chars < LATTICE_CHARS or stop == at):
+                chars += len(new[stop])
+                stop += 1
+            some = new[at:stop]
+            lattice = self.vocabulary.lattice([w.decode("utf-8", "replace") for w in some])
+            n = len(self.known)
+            if n + len(some) > len(self.values):
+                grown = np.zeros((max(2 * len(self.values), n + len(some)), self.values.shape[1]))
+                grown[:n] = self.values[:n]
+                self.values = grown
+            self.values[n:n + len(some)] = lattice.forward(self.model.logp)[lattice.tails]
+            self.known.update(zip(some, range(n, n + len(some)), strict=True))
+            self.size += chars + len(some) * (ENTRY_BYTES + 16 * self.values.shape[1])
+            at = stop
 
     def score(self, texts: list[bytes | None]) -> list[tuple[str, float]]:
-        """Language and its share of the likelihood, per text."""
+        """Language and its share of the likelihood, per text; meant for a few texts at a time."""
         out = []
         split = [(t or b"").split() for t in texts]
-        for a in range(0, len(texts), 256):
-            part = split[a:a + 256]
-            if len(self.known) > self.most:
-                self.forget()
-            new = {w for ws in part for w in ws}.difference(self.known)
-            if new:
-                self.learn(list(new))
-            for text, ws in zip(texts[a:a + 256], part, strict=True):
-                if not self.model.languages or not ws or not has_letter(text):
-                    out.append((UNDETERMINED, 0.0))
-                    continue
-                rows = np.fromiter(map(self.known.__getitem__, ws), np.int64, len(ws))
-                total = self.values[rows].sum(0)
-                best = int(total.argmax())
-                out.append((self.model.languages[best], float(1 / np.exp(total - total[best]).sum())))
+        if self.size > REMEMBERED_BYTES:
+            self.forget()
+        new = set().union(*split).difference(self.known)
+        if new:
+            self.learn(list(new))
+        for text, ws in zip(texts, split, strict=True):
+            if not self.model.languages or not ws or not has_letter(text):
+                out.append((UNDETERMINED, 0.0))
+                continue
+            rows = np.fromiter(map(self.known.__getitem__, ws), np.int64, len(ws))
+            total = self.values[rows].sum(0)
+            best = int(total.argmax())
+            out.append((self.model.languages[best], float(1 / np.exp(total - total[best]).sum())))
         return out
 
+    def slices(self, batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa.RecordBatch, list[tuple[str, float]]]]:
+        """Parts of the batches, each with what is said of its texts (column ``at``)."""
+        for batch in batches:
+            for a in range(0, batch.num_rows, SLICE):
+                part = batch.slice(a, SLICE)
+                yield part, self.score(part.column(at).cast(pa.binary()).to_pylist())
+
 
 def scorer(model: Model) -> Scorer:
     """One per worker process and model: what it has learned serves all its tasks."""
@@ -282,11 +303,9 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = scorer(sent.value)
-        for batch in batches:
-            said = own.score(batch.column("text").cast(pa.binary()).to_pylist())
+        for part, said in scorer(sent.value).slices(batches, 2):
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array([x[0] for x in said], pa.string()),
+                [part.column("doc_id"), part.column("held_out"), pa.array([x[0] for x in said], pa.string()),
                  pa.array([x[1] for x in said], pa.float64())],
                 names=["doc_id", "held_out", "lang_pred", "score"])
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
@@ -294,16 +313,22 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_languages(docs: DataFrame, model: Model, languages: tuple[str, ...] | None = None,
-                   min_score: float = 0.5) -> DataFrame:
-    """The rows whose language is one of those given (any learned one for None) and sure enough."""
+                   min_score: float = 0.5, times_chance: float | None = None) -> DataFrame:
+    """The rows whose language is one of those given (any learned one for None) and sure enough.
+
+    With ``times_chance`` the floor is so many times the score that chance gives, one part in the
+    number of languages, instead of ``min_score``. Where no language was learned, nothing can be
+    judged, and all rows stay.
+    """
+    if not model.languages:
+        return docs
+    floor = min_score if times_chance is None else times_chance / len(model.languages)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = scorer(sent.value)
-        for batch in batches:
-            said = own.score(batch.column(at).cast(pa.binary()).to_pylist())
-            yield batch.filter(pa.array([
-                x != UNDETERMINED and (languages is None or x in languages) and p >= min_score
+        for part, said in scorer(sent.value).slices(batches, at):
+            yield part.filter(pa.array([
+                x != UNDETERMINED and (languages is None or x in languages) and p >= floor
                 for x, p in said], pa.bool_()))
     return docs.mapInArrow(work, docs.schema)

@@ -129,8 +129,8 @@ def op8_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 @bound()
 def op9_sentence_spans(spark: SparkSession, sf: str) -> DataFrame:
-    """Sentences that a repeated run of three covers are removed but for the first run."""
-    return sentence_spans.drop_repeated_spans(table(spark, sf, "documents"), min_words=0)
+    """Sentences of a repeated run of two or more with sixteen words are removed but for the first run."""
+    return sentence_spans.drop_repeated_spans(table(spark, sf, "documents"), span=2, min_words=16)
 
 
 def vocabulary(name: str) -> str:

@@ -25,7 +25,7 @@ from __future__ import annotations
 import json
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -38,7 +38,10 @@ from evidence.llm.base import keyed
 from evidence.llm.graph import store
 
 END_ID = 1
-REMEMBERED_WORDS = 2_000_000
+REMEMBERED_BYTES = 192 << 20
+#: a dictionary entry and two short bytes objects, without what they hold
+ENTRY_BYTES = 170
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 TOGETHER = 256
 #: ends that the tokenizer splits from a letter before them
 TAIL = b",.!?;:"
@@ -51,7 +54,7 @@ READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 class WordEncoder:
     """Ids of UTF-8 texts as bytes in the file's integer type."""
 
-    def __init__(self, tokenizer_file: str, remembered: int = REMEMBERED_WORDS):
+    def __init__(self, tokenizer_file: str, remembered: int = REMEMBERED_BYTES):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.dtype = id_type(self.tokenizer.get_vocab_size())
@@ -60,29 +63,48 @@ class WordEncoder:
         self.last = np.zeros(self.tokenizer.get_vocab_size(), bool) if suffix else None
         for token, number in self.tokenizer.get_vocab().items() if suffix else ():
             self.last[number] = token.endswith(suffix)
+        normalizer = self.tokenizer.normalizer
+        self.lower = normalizer is not None and normalizer.normalize_str(LETTERS) == LETTERS.lower()
         self.known: dict[bytes, bytes] = {}
-        self.remembered = remembered
+        #: estimated bytes of what is known, and how much of it is kept
+        self.size, self.remembered = 0, remembered
 
-    def learn(self, words: set[bytes]) -> None:
-        parts = {w: stem_and_tail(w) for w in words}
-        new = list({p for pair in parts.values() for p in pair if p}.difference(self.known))
+    def learn(self, words: Iterable[bytes]) -> None:
         self.known[b""] = b""
-        if self.last is not None:
-            new = self.learn_letters(new)
+        letters, tailed, rest = [], [], []
+        for w in words:
+            if w.isalpha():
+                letters.append(w)
+            else:
+                stem = w.rstrip(TAIL)
+                if len(stem) < len(w) and stem and (stem.isalpha() or stem.decode("utf-8", "replace")[-1].isalpha()):
+                    tailed.append((w, stem))
+                else:
+                    rest.append(w)
+        # the two parts of a word with a tail encode apart
+        parts = {p for w, stem in tailed for p in (stem, w[len(stem):])}.difference(self.known, letters, rest)
+        for p in parts:
+            (letters if p.isalpha() else rest).append(p)
+        if self.last is None:
+            rest += letters
+        else:
+            wide = [w for w in rest if w.decode("utf-8", "replace").isalpha()]
+            rest = [*set(rest).difference(wide), *self.learn_letters(letters), *self.learn_letters(wide)]
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        for at in range(0, len(new), 20_000):
-            some = new[at:at + 20_000]
+        for at in range(0, len(rest), 20_000):
+            some = rest[at:at + 20_000]
             done = encode([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
-            self.known.update((w, struct.pack(f"<{len(e)}{self.code}", *e.ids))
-                              for w, e in zip(some, done, strict=True))
-        self.known.update((w, self.known[a] + self.known[b]) for w, (a, b) in parts.items())
+            self.remember(some, [struct.pack(f"<{len(e)}{self.code}", *e.ids) for e in done])
+        self.remember([w for w, _ in tailed], [self.known[x] + self.known[w[len(x):]] for w, x in tailed])
+
+    def remember(self, words: list[bytes], ids: list[bytes]) -> None:
+        self.known.update(zip(words, ids, strict=True))
+        self.size += ENTRY_BYTES * len(words) + sum(map(len, words)) + sum(map(len, ids))
 
     def learn_letters(self, words: list[bytes]) -> list[bytes]:
         """Learn words of letters many at a time, cut where a token ends a word; returns the rest."""
-        plain, rest = [], []
-        for w in words:
-            (plain if w.isalpha() or w.decode("utf-8", "replace").isalpha() else rest).append(w)
-        groups = [plain[a:a + TOGETHER] for a in range(0, len(plain), TOGETHER)]
+        rest = []
+        groups = [words[a:a + TOGETHER] for a in range(0, len(words), TOGETHER)]
         texts = [b" ".join(g).decode("utf-8", "replace") for g in groups]
         for group, e in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
             ids = np.array(e.ids, self.dtype)
@@ -91,32 +113,20 @@ class WordEncoder:
                 rest += group
                 continue
             raw = ids.tobytes()
-            self.known.update((w, raw[a:b]) for w, a, b in zip(group, [0, *stops[:-1]], stops, strict=True))
+            self.remember(group, [raw[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)])
         return rest
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        if len(self.known) > self.remembered:
+        if self.size > self.remembered:
             self.known.clear()
-        split = [t.split() for t in texts]
-        found = [list(map(self.known.get, words)) for words in split]
-        open_ = [k for k, ids in enumerate(found) if None in ids]
-        missing = {w for k in open_ for w, ids in zip(split[k], found[k], strict=True) if ids is None}
-        if missing:
-            self.learn(missing)
-        for k in open_:
-            found[k] = map(self.known.__getitem__, split[k])
-        return [b"".join(ids) for ids in found]
-
-
-def stem_and_tail(word: bytes) -> tuple[bytes, bytes]:
-    """Two parts of a word that encode apart; the stem in lower case where that is sure to be
-    what the tokenizer makes of it."""
-    if word.isalpha():
-        return word.lower(), b""
-    stem = word.rstrip(TAIL)
-    if not stem or not stem.decode("utf-8", "replace")[-1].isalpha():
-        return word, b""
-    return (stem.lower() if stem.isascii() and stem.isalpha() else stem), word[len(stem):]
+            self.size = 0
+        # bytes.lower() changes ASCII letters only, which the tokenizer does as well
+        split = [t.lower().split() for t in texts] if self.lower else [t.split() for t in texts]
+        new = set().union(*split).difference(self.known)
+        if new:
+            self.learn(new)
+        ids = self.known.__getitem__
+        return [b"".join(map(ids, words)) for words in split]
 
 
 @lru_cache(maxsize=1)

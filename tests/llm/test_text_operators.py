@@ -58,9 +58,11 @@ def sentences_by_hand(rows, span=3, least=10):
     spans = defaultdict(list)
     for n, own in enumerate(pieces):
         real = [(i, p.strip(" \t\n\x0b\x0c\r")) for i, p in enumerate(own) if p.strip(" \t\n\x0b\x0c\r")]
-        for k in range(len(real) - span + 1):
-            run = real[k:k + span]
-            if sum(len(s.split()) for _, s in run) >= least:
+        for k in range(len(real)):
+            end = next((e for e in range(k + span, len(real) + 1) if sum(len(s.split()) for _, s in real[k:e]) >= least),
+                       None if k else len(real))
+            if end is not None:
+                run = real[k:end]
                 spans[tuple(s for _, s in run)].append((rows[n][0], n, run[0][0], [i for i, _ in run]))
     gone = defaultdict(set)
     for places in spans.values():
@@ -78,26 +80,36 @@ def test_sentence_spans_against_brute_force(spark, sf):
     assert sum(r.n_removed > 0 for r in got.values()) > 5
 
 
-def test_op9_compares_short_sentences(spark, tmp_path):
+def test_op9_against_brute_force(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    got = {r.doc_id: r.kept_text for r in queries.op9_sentence_spans(spark, sf).collect()}
+    assert got == sentences_by_hand(rows, 2, 16)
+
+
+def test_spans_of_any_number_of_words(spark):
     rows = [(1, "Milk.\nEggs.\nBread. \nSalt.\nmine", "en", "a"), (2, "STOP!! GO!! Eggs.\nBread.\nSalt.", "en", "a"),
             (3, "Milk.\nEggs.\nSalt.", "en", "a")]
-    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
-    got = {r.doc_id: (r.n_removed, r.kept_text) for r in queries.op9_sentence_spans(spark, str(tmp_path)).collect()}
+    found = sentence_spans.drop_repeated_spans(frame(spark, rows), span=3, min_words=0).collect()
+    got = {r.doc_id: (r.n_removed, r.kept_text) for r in found}
     assert got == {1: (0, rows[0][1]), 2: (3, "STOP!! GO!! "), 3: (0, rows[2][1])}
 
 
-def test_op9_of_short_texts_and_other_scripts(spark, tmp_path):
+def test_short_texts_and_other_scripts(spark, tmp_path):
     one, han = "one line of words " * 30, "他说：“你好。”我走了。天黑了！谁知道？"
     rows = [(1, one, "en", "a"), (2, f" {one}\n", "en", "a"), (3, f"{one} more", "en", "a"), (4, "Yes. No.", "en", "a"),
             (5, "Yes. No.\u3000", "en", "a"), (6, "Yes.", "en", "a"), (7, "No. Yes. No. Well.", "en", "a"),
             (8, han, "zh", "a"), (9, f"早。{han}晚。", "zh", "a"), (10, "क है। ख है। ग है।", "hi", "a"), (11, "नया। क है। ख है। ग है।", "hi", "a"),
             (12, '"A a." "B b!" (C c?) D', "en", "a"), (13, '"X." "A a." "B b!" (C c?) Y', "en", "a"), (14, "Q.\rR.\rS\r\nT", "en", "a")]
-    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
-    got = {r.doc_id: r.kept_text for r in queries.op9_sentence_spans(spark, str(tmp_path)).collect()}
+    docs = frame(spark, rows)
+    got = {r.doc_id: r for r in sentence_spans.drop_repeated_spans(docs, span=3, min_words=0).collect()}
     changed = {2: "", 5: "", 9: "早。晚。", 11: "नया।", 13: '"X." Y'}
-    assert got == {r[0]: changed.get(r[0], r[1]) for r in rows}
-    n = {r.doc_id: r.n_sentences for r in sentence_spans.drop_repeated_spans(frame(spark, rows)).collect()}
+    assert {k: r.kept_text for k, r in got.items()} == {r[0]: changed.get(r[0], r[1]) for r in rows}
+    n = {k: r.n_sentences for k, r in got.items()}
     assert (n[1], n[7], n[8], n[10], n[12], n[14]) == (1, 4, 4, 3, 4, 4)
+    # two sentences with five words: characters of Chinese count as words
+    two = {r.doc_id: r.kept_text for r in sentence_spans.drop_repeated_spans(docs, span=2, min_words=5).collect()}
+    assert two[9] == "早。晚。" and two[2] == "" and two[7] == rows[6][1]
 
 
 def test_sentence_spans_of_odd_rows(spark):
