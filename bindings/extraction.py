@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from evidence.functions import jsontext
 from evidence.functions.text import computed
 from evidence.operators import analysis, chunks, records
-from evidence.operators.normalize import needs_review, normalize
+from evidence.operators.normalize import needs_review, normalize, review_fields
 from evidence.plans import extract
 from evidence.schema import SCORE_KEYS
 from evidence.session import shared_folder
@@ -18,15 +18,24 @@ from .frames import (ARTICLE_SQL, ARTICLES_SQL, DOCUMENT_SQL, ENTITY_SQL, REVIEW
 from .registry import bound, spread, table
 
 
-def documents(spark, sf):
-    """Normalised documents of all orders."""
+def documents(spark, sf, fields=None):
+    """Normalised documents of all orders, or the fields of them that are named."""
     parsed = computed(answers(spark, sf), {"raw": jsontext.parse_object("content")}).withColumn(
         "error", F.when(F.col("raw").isNull(), F.lit("unreadable")))
-    return normalize(parsed, error="error").drop("raw", "content")
+    return normalize(parsed, error="error", fields=fields).drop("raw", "content")
 
 
-def reviewed(spark, sf):
-    return documents(spark, sf).withColumn("needs_review", needs_review())
+def reviewed(spark, sf, fields):
+    """Named fields of the documents, with the review flag."""
+    return documents(spark, sf, [*fields, *review_fields()]).withColumn("needs_review", needs_review())
+
+
+def article(*names):
+    return [f"article_level.{n}" for n in names]
+
+
+def entity(*names):
+    return [f"model_level.{n}" for n in names]
 
 
 @bound(f"""SELECT sub AS subspecialty, count(*) AS n_articles, CAST(sum(n_entities) AS BIGINT) AS n_entities,
@@ -36,7 +45,8 @@ def reviewed(spark, sf):
   FROM ({DOCUMENT_SQL}) GROUP BY sub""")
 def subspecialty_summary(spark, sf):
     art = F.col("doc.article_level")
-    return (reviewed(spark, sf).groupBy(art["primary_subspecialty"].alias("subspecialty")).agg(
+    rows = reviewed(spark, sf, article("primary_subspecialty", "article_has_external_validation", "study_quality_score"))
+    return (rows.groupBy(art["primary_subspecialty"].alias("subspecialty")).agg(
         F.count("*").alias("n_articles"),
         F.sum(F.size("doc.model_level")).alias("n_entities"),
         F.count_if("needs_review").alias("n_review"),
@@ -52,7 +62,11 @@ def subspecialty_summary(spark, sf):
     CAST(n_issues AS INT) AS n_issues, {REVIEW_SQL} AS needs_review FROM ({DOCUMENT_SQL})""")
 def normalised_articles(spark, sf):
     a = F.col("doc.article_level")
-    return reviewed(spark, sf).select(
+    rows = reviewed(spark, sf, [*article(
+        "pmid", "title", "journal", "pub_date", "primary_subspecialty", "article_has_external_validation",
+        "article_has_internal_validation", "number_of_models_described", "is_multimodel_article", "study_quality_score",
+        "overall_notes"), "issues"])
+    return rows.select(
         a["pmid"].alias("pmid"), a["title"].alias("title"), a["journal"].alias("journal"),
         a["pub_date"].alias("pub_date"), a["primary_subspecialty"].alias("subspecialty"),
         a["article_has_external_validation"].alias("ext"),
@@ -69,7 +83,10 @@ def normalised_articles(spark, sf):
     {', '.join(f'CAST(e{i} AS INT) AS {k}' for i, k in enumerate(SCORE_KEYS))},
     CAST(e_total AS INT) AS total FROM ({ENTITY_SQL})""")
 def normalised_entities(spark, sf):
-    rows = documents(spark, sf).select("pmid", F.explode("doc.model_level").alias("e"))
+    named = entity("model_name", "disease_subspecialty", "outcome_group", "model_method_group", "validation_type",
+                   "has_external_validation", "has_internal_validation", "sample_size", "performance_metrics",
+                   "predictors_raw", "model_quality_score")
+    rows = documents(spark, sf, named).select("pmid", F.explode("doc.model_level").alias("e"))
     e = F.col("e")
     return rows.select(
         "pmid", e["model_id_within_article"].alias("id"), e["model_name"].alias("model_name"),
@@ -98,14 +115,23 @@ def normalised_entities(spark, sf):
         CASE WHEN n_given < 0 THEN 'number_of_models_negative' END] END) FROM ({ARTICLE_SQL}))
   WHERE issue IS NOT NULL GROUP BY issue""")
 def issue_codes(spark, sf):
-    return (documents(spark, sf).select(F.explode("issues").alias("issue"))
+    return (documents(spark, sf, ["issues"]).select(F.explode("issues").alias("issue"))
             .groupBy("issue").agg(F.count("*").alias("n")))
 
 
+@bound(f"""SELECT CAST(k AS VARCHAR) AS pmid, sub, n_models, n_entities FROM ({DOCUMENT_SQL})""")
+def pruned_documents(spark, sf):
+    """Three fields of a document, computed without the rest of it."""
+    rows = documents(spark, sf, [*article("primary_subspecialty", "number_of_models_described"), "model_level.sample_size"])
+    a = F.col("doc.article_level")
+    return rows.select("pmid", a["primary_subspecialty"].alias("sub"), a["number_of_models_described"].alias("n_models"),
+                       F.size("doc.model_level").cast("long").alias("n_entities"))
+
+
 @bound(f"""SELECT CAST(k AS VARCHAR) AS pmid FROM ({DOCUMENT_SQL})
   WHERE n_issues > 0""")
 def low_confidence_documents(spark, sf):
-    return analysis.low_confidence(documents(spark, sf)).select("pmid")
+    return analysis.low_confidence(documents(spark, sf, ["quality_flags.requires_human_review"])).select("pmid")
 
 
 # --- documents as keyed records ----------------------------------------------------------------
@@ -237,7 +263,7 @@ _SQUEEZED = r"trim(regexp_replace({}, '[\s\x{{a0}}]+', ' ', 'g'))"
   FROM (SELECT doc_id FROM documents) LEFT JOIN ({_BEST_SQL}) b ON doc_id = conv_id""")
 def extraction_with_failures(spark, sf):
     rows = extract.extract(articles(spark, sf), attempts(spark, sf),
-                           settings=extract.RunSettings(primary_model="m1"))
+                           settings=extract.RunSettings(primary_model="m1"), fields=())
     return rows.select("pmid", "status", F.col("doc.article_level.overall_notes").alias("notes"),
                        F.size("issues").alias("n_issues"), "needs_review")
 
@@ -298,7 +324,8 @@ _PASSES = f"""SELECT f.k, f.o_orderpriority, f.parsed AS ok1, s.parsed AS ok2, {
     CASE WHEN NOT again THEN flag1 WHEN ok2 THEN flag2 ELSE TRUE END AS needs_review
   FROM ({_PASSES})""")
 def second_pass_extraction(spark, sf):
-    rows = extract.extract(order_sources(spark, sf), two_answers(spark, sf), settings=TWO_MODELS)
+    rows = extract.extract(order_sources(spark, sf), two_answers(spark, sf), settings=TWO_MODELS,
+                           fields=article("primary_subspecialty"))
     return rows.select(
         "pmid", F.col("doc.article_level.primary_subspecialty").alias("sub"),
         F.col("audit.inline_second_pass").alias("second_pass"), "status",
@@ -315,7 +342,7 @@ _SHARD = "substr(o_orderpriority, 1, 1)"
   FROM ({DOCUMENT_SQL}) GROUP BY ROLLUP ({_SHARD})""")
 def extraction_totals(spark, sf):
     return extract.totals(extract.extract(order_sources(spark, sf), two_answers(spark, sf),
-                                          settings=ONE_MODEL))
+                                          settings=ONE_MODEL, fields=()))
 
 
 # arbitration: flagged documents of the first answer, those of keys divisible by 4 done before
@@ -328,14 +355,16 @@ def arbitrated_documents(spark, sf):
 
 def _first_docs(spark, sf):
     """Extracted documents as the first run leaves them: a stored table."""
-    rows = documents(spark, sf).select("pmid", F.substring("journal", 1, 1).alias("shard"), "doc")
+    rows = documents(spark, sf, [*article("pmid"), *review_fields()]).select(
+        "pmid", F.substring("journal", 1, 1).alias("shard"), "doc")
     return sinks.stage_rows(rows, shared_folder(spark, "extracted"), "first")
 
 
 def _arbitrated(spark, sf, first=None):
     first = first or _first_docs(spark, sf)
     done = first.filter(F.col("pmid").cast("bigint") % 4 == 0)
-    return extract.rerun_flagged(order_sources(spark, sf), first, two_answers(spark, sf), done, ONE_MODEL)
+    return extract.rerun_flagged(order_sources(spark, sf), first, two_answers(spark, sf), done, ONE_MODEL,
+                                 fields=())
 
 
 @bound(f"""SELECT {_SHARD} AS shard, count(*) AS flagged, count(*) FILTER (WHERE k % 4 <> 0) AS scheduled,
@@ -352,7 +381,7 @@ def arbitration_totals(spark, sf):
 @bound(f"""SELECT CAST(k AS VARCHAR) AS pmid, {_SHARD} AS shard FROM ({DOCUMENT_SQL})
   WHERE {REVIEW_SQL} AND k % 6 <> 0""")
 def new_review_rows(spark, sf):
-    rows = reviewed(spark, sf).select(
+    rows = reviewed(spark, sf, article("pmid")).select(
         "pmid", F.substring("journal", 1, 1).alias("shard"), "doc", "needs_review",
         F.col("pmid").alias("record_key"))
     seen = rows.filter(F.col("pmid").cast("bigint") % 6 == 0)
@@ -460,10 +489,11 @@ def arbitration_from_disk(spark, sf):
 def compared_documents(spark, sf):
     """Subspecialties of the two models' documents side by side."""
     source, said = order_sources(spark, sf), two_answers(spark, sf)
-    one = extract.extract(source, said.filter("pass = 1"), settings=ONE_MODEL)
+    field = article("primary_subspecialty")
+    one = extract.extract(source, said.filter("pass = 1"), settings=ONE_MODEL, fields=field)
     other = said.filter("pass = 2").withColumns({"model": F.lit("m1"), "pass": F.lit(1)})
-    two = extract.extract(source, other, settings=ONE_MODEL)
-    return analysis.compare_documents(one, two, ["article_level.primary_subspecialty"]).select(
+    two = extract.extract(source, other, settings=ONE_MODEL, fields=field)
+    return analysis.compare_documents(one, two, field).select(
         "field", "both", "changed", "filled", "emptied")
 
 

@@ -52,8 +52,8 @@ def top_k(df: DataFrame, column: str, k: int = 5) -> DataFrame:
 
 
 def in_top_k(df: DataFrame, column: str, k: int = 5) -> DataFrame:
-    """Rows whose value is among the k most frequent; k bounds the broadcast."""
-    return df.join(F.broadcast(top_k(df, column, k).select(column)), column, "left_semi")
+    """Rows whose value is among the k most frequent; Spark sees how large k values are."""
+    return df.join(top_k(df, column, k).select(column), column, "left_semi")
 
 
 def top_k_means(df: DataFrame, key: str, values: Sequence[str], k: int = 5) -> DataFrame:

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schema import CHUNK_ROWS, CORPUS_YEARS, PAGE_ROWS, SHARD_ROWS
 from ..session import cut_lineage
 
 DEEP_ROWS = 100_000
+BLOCK_ROWS = 100_000
 UNDATED = "undated"
 WHOLE = "all"
 
@@ -102,15 +103,40 @@ def page(df: DataFrame, order: Sequence[str], start: int = 0, size: int = PAGE_R
     """One page of the sorted rows: ``size`` rows after the first ``start`` ones.
 
     The first pages are a top-k.  Beyond ``DEEP_ROWS`` the rows are numbered instead, so no
-    task holds all that comes before the page.
+    task holds all that comes before the page.  A row hash ends the order either way, so pages
+    of equal keys neither repeat nor lose rows.  Who reads many pages should store the order
+    (`store_order`) instead of sorting again for each.
     """
     if start + size <= DEEP_ROWS:
-        return df.orderBy(*order).offset(start).limit(size)
+        return df.orderBy(*order, F.xxhash64(*hashable(df))).offset(start).limit(size)
     numbered = number_rows(df, order)
     return (numbered.filter(F.col("row_no").between(start + 1, start + size))
             .orderBy("row_no").drop("row_no"))
 
 
+def store_order(df: DataFrame, path: str, order: Sequence[str], block_rows: int = BLOCK_ROWS) -> None:
+    """Write the rows in order, numbered, in folders of ``block_rows`` consecutive rows.
+
+    One sort serves all pages: a row's folder follows from its number.
+    """
+    numbered = number_rows(df, order)
+    block = F.floor((F.col("row_no") - 1) / F.lit(block_rows)).cast("long")
+    (numbered.withColumn("block", block).write.mode("overwrite").partitionBy("block").parquet(f"{path}/rows"))
+    # what the folders were cut by, and an empty file with the columns, for tables without rows
+    df.sparkSession.createDataFrame([(block_rows,)], "block_rows long").coalesce(1) \
+        .write.mode("overwrite").parquet(f"{path}/cut")
+    numbered.limit(0).write.mode("overwrite").parquet(f"{path}/columns")
+
+
+def stored_page(spark: SparkSession, path: str, start: int = 0, size: int = PAGE_ROWS) -> DataFrame:
+    """Rows ``start + 1 .. start + size`` of a stored order; only their folders are read."""
+    cut = spark.read.parquet(f"{path}/cut").first().block_rows
+    schema = spark.read.parquet(f"{path}/columns").schema.add("block", "long")
+    blocks = F.col("block").between(start // cut, (start + max(size, 1) - 1) // cut)
+    rows = F.col("row_no").between(start + 1, start + size)
+    return spark.read.schema(schema).parquet(f"{path}/rows").filter(blocks & rows).orderBy("row_no").drop("block", "row_no")
+
+
 def number_rows(df: DataFrame, order: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Add ``row_no`` 1..n in global order without a single-task window.
 

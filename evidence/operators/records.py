@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import jsontext, text
 from ..operators.normalize import needs_review
 from ..schema import DEFAULT_SCHEMA, REVIEW_THRESHOLD, RETRIED_STATUS, ExtractionSchema
-from .screen import answer_head, decision_of
+from .screen import HEAD_CHARS, answer_head, decision_of
 
 RESPONSE_TYPE = ("pmid string, model string, pass int, attempt int, status int, "
                  "content string")
@@ -150,24 +150,28 @@ def best_attempt(responses: DataFrame,
             .drop("_rn", "content"))
 
 
-def best_screening_attempt(responses: DataFrame) -> DataFrame:
+def best_screening_attempt(responses: DataFrame, head_chars: int = HEAD_CHARS) -> DataFrame:
     """One row per pmid for the screening stage, with ``answer`` (decision, reason).
 
     A text without any brace is a final error; other failures were tried again, so the
-    first attempt that is final wins.
+    first attempt that is final wins.  ``reason`` holds the head of an answer that is no
+    decision; ``error_text`` has all of it, or the whole error of a failed attempt.
     """
     parsed = text.computed(responses, {
         "_v": F.when(F.col("status") == 200, jsontext.parse_screening("content")),
-        "_head": answer_head("content")})
+        "_head": answer_head("content", head_chars)})
     final = (F.col("status") == 200) & (
         F.col("_v").isNotNull() | (F.locate("{", F.col("content")) == 0))
-    ranked = parsed.withColumn("ok", F.coalesce(final, F.lit(False))).drop("content")
+    # only texts of failures go through the shuffle
+    ranked = parsed.withColumn("ok", F.coalesce(final, F.lit(False))).withColumn(
+        "error_text", F.when(F.col("status") != 200, attempt_error(F.col("status"), F.col("content"), None, None))
+        .when(F.try_variant_get("_v", "$.decision", "string").isNull(), F.col("content"))).drop("content")
     w = Window.partitionBy("pmid").orderBy(
         F.desc("ok"), F.when(F.col("ok"), F.col("attempt")).otherwise(-F.col("attempt")))
     failed = F.struct(F.lit("error").alias("decision"),
                       F.lit("max retries exceeded").alias("reason"))
     return (ranked.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
-            .select("pmid", "attempt", "ok",
+            .select("pmid", "attempt", "ok", "error_text",
                     F.when(F.col("ok"), decision_of(F.col("_v"), F.col("_head")))
                     .otherwise(failed).alias("answer")))
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import coerce, jsontext, text
+from ..functions.terms import TermIndex, term_pattern
 from ..schema import (BUILDING_TERMS, CONTEXT_TERMS, CORPUS_EXCLUDED_TYPES, CORPUS_GROUPS,
                       CORPUS_YEARS, MODEL_TERMS, VALIDATION_ONLY_TERMS, PrefilterRules)
 
@@ -103,16 +103,17 @@ def keyword_reason(model_terms: Sequence[str] = MODEL_TERMS,
 
 # --- corpus predicate -----------------------------------------------------------------------
 
-def term_pattern(terms: Sequence[str]) -> str:
-    """Whole-word alternation, case-insensitive; a trailing ``*`` matches word endings."""
-    parts = [re.escape(t.rstrip("*")) + (r"\w*" if t.endswith("*") else "") for t in terms]
-    return rf"(?iU)\b(?:{'|'.join(parts)})\b"
+#: groups of more terms are looked up by word instead of tried one by one
+INDEXED_TERMS = 40
 
 
 def corpus_predicate(groups: Sequence[Sequence[str]] = CORPUS_GROUPS,
                      years: tuple[int, int] | None = CORPUS_YEARS,
                      excluded_types: Sequence[str] = CORPUS_EXCLUDED_TYPES) -> Column:
-    """Every group of terms hits title or abstract, the year is in range, no excluded type."""
+    """Every group of terms hits title or abstract, the year is in range, no excluded type.
+
+    Large groups go through `TermIndex`, which gives the same answers.
+    """
     keep = F.lit(True)
     if years:
         keep = keep & F.coalesce(text.year_of("pub_date").between(*years), F.lit(False))
@@ -120,7 +121,8 @@ def corpus_predicate(groups: Sequence[Sequence[str]] = CORPUS_GROUPS,
         keep = keep & type_reason(F.col("publication_types"), excluded_types).isNull()
     both = _both("title", "abstract")
     for terms in groups:
-        keep = keep & F.rlike(both, F.lit(term_pattern(terms)))
+        keep = keep & (TermIndex(terms).hit(both) if len(terms) > INDEXED_TERMS
+                       else F.rlike(both, F.lit(term_pattern(terms))))
     return keep
 
 
@@ -141,9 +143,13 @@ def parse_decision(content: Column | str) -> Column:
     return decision_of(jsontext.parse_screening(content), answer_head(content))
 
 
-def answer_head(content: Column | str) -> Column:
+#: characters of an unreadable answer that its reason shows
+HEAD_CHARS = 100
+
+
+def answer_head(content: Column | str, chars: int = HEAD_CHARS) -> Column:
     """Start of an answer, for the reason of a failed parse."""
-    return F.substring(jsontext.drop_fence_lines(content), 1, 100)
+    return F.substring(jsontext.drop_fence_lines(content), 1, chars)
 
 
 def decision_of(parsed: Column, head: Column) -> Column:

@@ -6,6 +6,7 @@ different study type is a different parameter value, not different code.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 
 # --- fixed values: controlled vocabularies -------------------------------------------
@@ -237,15 +238,21 @@ class ExtractionSchema:
 
     # -- Spark types, as DDL -----------------------------------------------------------
 
-    def raw_type(self) -> str:
-        """Type the parsed answer is cast to: text as string, everything else as VARIANT."""
-        return (f"struct<{self.article_key} {_raw_struct(self.article_fields)},"
-                f"{self.entity_key} array<{_raw_struct(self.entity_fields)}>,"
-                f"normalization struct<{','.join(f'{c} variant' for c in self.confidences)}>,"
-                f"quality_flags struct<{','.join(f'{c} variant' for c in self.flags)}>>")
+    def raw_type(self, article: Sequence[Field] | None = None, entity: Sequence[Field] | None = None,
+                 confidences: Sequence[str] | None = None, flags: Sequence[str] | None = None) -> str:
+        """Type the parsed answer is cast to: text as string, everything else as VARIANT.
 
-    def raw_entities_type(self) -> str:
-        return f"array<{_raw_struct(self.entity_fields)}>"
+        Of each level all fields, or those given.
+        """
+        def variants(names: Sequence[str]) -> str:
+            return f"struct<{','.join(f'{c} variant' for c in names or ('_any',))}>"
+        return (f"struct<{self.article_key} {_raw_struct(self.article_fields if article is None else article)},"
+                f"{self.entity_key} {self.raw_entities_type(entity)},"
+                f"normalization {variants(self.confidences if confidences is None else confidences)},"
+                f"quality_flags {variants(self.flags if flags is None else flags)}>")
+
+    def raw_entities_type(self, entity: Sequence[Field] | None = None) -> str:
+        return f"array<{_raw_struct(self.entity_fields if entity is None else entity)}>"
 
     def doc_type(self) -> str:
         """Type of the normalised document."""
@@ -274,7 +281,10 @@ class ExtractionSchema:
             vocabularies={**self.vocabularies, **(vocabularies or {})}, **special)
 
 
-def _raw_struct(fields: tuple[Field, ...]) -> str:
+def _raw_struct(fields: Sequence[Field]) -> str:
+    if not fields:  # only whether it is an object
+        return "struct<_any variant>"
+
     def one(f: Field) -> str:
         if f.kind in ("text", "maybe", "enum"):
             return f"{f.name} string"

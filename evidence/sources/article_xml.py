@@ -17,6 +17,10 @@ RECORD_TAG = "PubmedArticle"
 # fixed values: inline elements of the record format
 INLINE_TAGS = ("b", "i", "u", "sup", "sub", "DispFormula", "mml:[A-Za-z]+")
 
+# text of a title or section up to a tag inside it, which is not kept
+_INNER_TAG = (r"(<(?:ArticleTitle|AbstractText)\b[^<>]*>|\G(?!\A))([^<]*)"
+              r"<(?!/?(?:ArticleTitle|AbstractText)\b)[^<>]*>")
+
 _VALUE = "struct<_VALUE string>"
 RECORD_TYPE = (
     f"MedlineCitation struct<PMID {_VALUE},"
@@ -43,13 +47,9 @@ def plain_markup(xml: Column, title_text: str = "full") -> Column:
     if title_text == "leading":
         return F.regexp_replace(
             xml, r"(?s)(<(ArticleTitle|AbstractText)\b[^>]*>[^<]*)<(?!/\2\b).*?(</\2>)", "$1$3")
-    # cut before and behind these elements; what is left of other tags in between goes
-    parts = F.split(xml, r"(?=<(?:ArticleTitle|AbstractText)\b)|(?<=</ArticleTitle>)|(?<=</AbstractText>)")
-    texts = F.transform(parts, lambda p: F.when(
-        F.rlike(p, F.lit(r"^<(?:ArticleTitle|AbstractText)\b")),
-        F.regexp_replace(p, r"<(?!/?(?:ArticleTitle|AbstractText)\b)[^<>]*>", "")).otherwise(
-        F.regexp_replace(p, rf"</?(?:{'|'.join(INLINE_TAGS)})(?:\s[^>]*)?/?>", "")))
-    return F.array_join(texts, "")
+    # each match goes on where the last one ended, so one pass takes all tags out of an element
+    xml = F.regexp_replace(xml, _INNER_TAG, "$1$2")
+    return F.regexp_replace(xml, rf"</?(?:{'|'.join(INLINE_TAGS)})(?:\s[^>]*)?/?>", "")
 
 
 def _values(items: Column) -> Column:
@@ -98,12 +98,14 @@ def parse_records(df: DataFrame, xml: str = "xml", title_text: str = "full") ->
 
 
 def read_article_xml(spark: SparkSession, path: str | list[str], glob: str = "*.xml*",
-                     title_text: str = "full") -> DataFrame:
-    """Article rows of all XML files of a folder."""
+                     title_text: str = "full", file: str | None = None) -> DataFrame:
+    """Article rows of all XML files of a folder; with ``file``, a column of that name has each
+    record's file."""
     end = f"</{RECORD_TAG}>"
     pieces = spark.read.option("lineSep", end).option("pathGlobFilter", glob).text(path)
+    named = [F.col("_metadata.file_path").alias(file)] if file else []
     # what follows the last record holds no start tag and is dropped
     start = F.regexp_instr("value", F.lit(rf"<{RECORD_TAG}[\s>]"))
-    records = (pieces.withColumn("_at", start).filter("_at > 0")
-               .select(F.concat(F.expr("substr(value, _at)"), F.lit(end)).alias("xml")))
+    records = (pieces.select("value", start.alias("_at"), *named).filter("_at > 0")
+               .select(F.concat(F.expr("substr(value, _at)"), F.lit(end)).alias("xml"), *([file] if file else [])))
     return parse_records(records, "xml", title_text)

@@ -56,18 +56,19 @@ def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
             .filter("v is not null").drop(value))
 
 
-def read_jsonl(spark: SparkSession, path: str | list[str], glob: str = "*.jsonl",
-               mode: str = "tolerant", schema: str = ARTICLE_TYPE) -> DataFrame:
-    """Scan all shards of a folder.
+def read_jsonl(spark: SparkSession, path: str | list[str], glob: str = "*.json*",
+               mode: str = "tolerant", schema: str = ARTICLE_TYPE, nested: bool = False) -> DataFrame:
+    """Scan all shards of a folder; with ``nested`` also of all folders below it.
 
     ``tolerant`` gives ``v, file_name, block_start, ord, shard``; ``strict`` gives typed
     columns of ``schema`` plus the position columns and fails on a broken line.
     """
+    reader = spark.read.option("pathGlobFilter", glob)
+    if nested:
+        reader = reader.option("recursiveFileLookup", "true")
     if mode == "strict":
-        rows = (spark.read.schema(schema).option("mode", "FAILFAST")
-                .option("pathGlobFilter", glob).json(path))
-        return with_file_position(rows)
-    lines = spark.read.option("pathGlobFilter", glob).text(path)
+        return with_file_position(reader.schema(schema).option("mode", "FAILFAST").json(path))
+    lines = reader.text(path)
     return parse_lines(with_file_position(lines))
 
 
@@ -108,12 +109,12 @@ def articles(scan: DataFrame) -> DataFrame:
 
 
 def read_documents(spark: SparkSession, path: str | list[str], glob: str = "*.json*",
-                   schema: ExtractionSchema = DEFAULT_SCHEMA) -> DataFrame:
+                   schema: ExtractionSchema = DEFAULT_SCHEMA, nested: bool = False) -> DataFrame:
     """Extraction documents written earlier: ``doc`` in the type of the schema.
 
     ``needs_review`` is the stored flag, computed where a file has none.
     """
-    scan = read_jsonl(spark, path, glob)
+    scan = read_jsonl(spark, path, glob, nested=nested)
     docs = scan.select(F.try_variant_get("v", "$", schema.doc_type()).alias("doc"),
                        F.try_variant_get("v", "$.pmid", "string").alias("pmid"),
                        F.try_variant_get("v", "$.needs_review", "boolean").alias("needs_review"),
