@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from evidence.operators import chunks, hierarchy, records, screen
-from evidence.plans import acquire, extract, prescreen, rounds
+from evidence.plans import acquire, extract, pack, prescreen, report, rounds
 from evidence.session import shared_folder
 from evidence.sources import commits, sinks
 from evidence.streaming import incremental
 
 from .corpus import _CLEAN, xml_records
-from .extraction import _SHARD, ONE_MODEL, order_sources, two_answers
-from .frames import ARTICLES_SQL, DOCUMENT_SQL, REVIEW_SQL, articles, with_answers
+from .extraction import _SHARD, ONE_MODEL, documents, order_sources, two_answers
+from .frames import ARTICLES_SQL, DOCUMENT_SQL, ENTITY_SQL, REVIEW_SQL, articles, with_answers
 from .registry import bound, table
 from .screening import _OUTCOMES, RULES, screening_responses
 
@@ -314,3 +314,75 @@ def ancestors_at_depth(spark, sf):
     tree = d.filter("doc_id > 0").select(
         F.concat(F.lit("d "), "doc_id").alias("term"), F.concat(F.lit("d "), F.floor(F.col("doc_id") / 3)).alias("parent"))
     return hierarchy.at_depth(tree, 2)
+
+
+# --- the analysis pack in parts -------------------------------------------------------------------------
+
+def _pack(spark, sf):
+    """The pack of the orders in two parts, the first of which is added twice."""
+    base = shared_folder(spark, "pack")
+    docs = documents(spark, sf, pack.fields())
+    for name in ("even", "odd", "even"):
+        pack.add_part(docs.filter(F.col("pmid").cast("bigint") % 2 == (0 if name == "even" else 1)), base, "r", name)
+    return pack.pack_tables(spark, base, "r")
+
+
+@bound(f"""SELECT 'subspecialties' AS name, sub AS key, count(*) AS n, CAST(NULL AS DOUBLE) AS value FROM ({DOCUMENT_SQL}) GROUP BY sub
+  UNION ALL SELECT 'per_year', CAST(year(o_orderdate) AS VARCHAR), count(*), NULL FROM ({DOCUMENT_SQL}) GROUP BY 2
+  UNION ALL SELECT 'methods', method, count(*), NULL FROM ({ENTITY_SQL}) GROUP BY method
+  UNION ALL SELECT 'outcomes', outcome, count(*), round(100.0 * count(*) / sum(count(*)) OVER (), 6) FROM ({ENTITY_SQL}) GROUP BY outcome
+  UNION ALL SELECT 'mean_score', sub, NULL, round(avg(CAST(a_total AS DOUBLE)), 6) FROM ({DOCUMENT_SQL}) GROUP BY sub
+  UNION ALL SELECT 'validation', 'external', NULL, round(avg(CAST(ext AS INT)) * 100, 6) FROM ({DOCUMENT_SQL})
+  UNION ALL SELECT 'total', stat, n, value FROM (SELECT count(a_total) AS n, round(avg(CAST(a_total AS DOUBLE)), 6) AS mean,
+      round(stddev_samp(CAST(a_total AS DOUBLE)), 6) AS std, round(quantile_cont(CAST(a_total AS DOUBLE), 0.25), 6) AS q25,
+      round(quantile_cont(CAST(a_total AS DOUBLE), 0.5), 6) AS q50, round(quantile_cont(CAST(a_total AS DOUBLE), 0.75), 6) AS q75
+    FROM ({DOCUMENT_SQL})) UNPIVOT (value FOR stat IN (mean, std, q25, q50, q75))""")
+def pack_in_parts(spark, sf):
+    """Exact tables of the merged pack."""
+    t = _pack(spark, sf)
+
+    def shown(name, key, n=None, value=None, df=None):
+        return (t[name] if df is None else df).select(
+            F.lit(name).alias("name"), key.cast("string").alias("key"),
+            (F.lit(None) if n is None else n).cast("bigint").alias("n"),
+            (F.lit(None).cast("double") if value is None else F.round(value, 6)).alias("value"))
+    total = t["scores"].filter(F.col("column") == "study_total_score").select(
+        "n", F.explode(F.create_map(*[x for c in ("mean", "std", "q25", "q50", "q75") for x in (F.lit(c), F.col(c).cast("double"))])))
+    n = F.col("n")
+    out = [shown("subspecialties", F.col("primary_subspecialty"), n), shown("per_year", F.col("year"), n),
+           shown("methods", F.col("model_method_group"), n), shown("outcomes", F.col("outcome_group"), n, F.col("share")),
+           shown("mean_score", F.col("primary_subspecialty"), None, F.col("mean")),
+           shown("validation", F.lit("external"), None, F.col("article_has_external_validation_pct")),
+           shown("total", F.col("key"), n, F.col("value"), total)]
+    return chunks.union_shards(out)
+
+
+@bound(f"""SELECT TRUE AS ids_within, count(*) AS groups, count(*) AS sizes_within FROM (SELECT sub FROM ({ENTITY_SQL})
+  WHERE sample_size IS NOT NULL GROUP BY sub)""")
+def pack_sketches(spark, sf):
+    """Whether distinct ids and medians of sample sizes lie within four times their stated errors."""
+    t = _pack(spark, sf)
+    rows = documents(spark, sf, pack.fields()).select(F.explode("doc.model_level").alias("e")).select(
+        F.col("e.disease_subspecialty").alias("sub"), F.col("e.sample_size").alias("size")).filter("size is not null")
+    median = t["sample_sizes"].select(F.col("disease_subspecialty").alias("sub"), "q50")
+    ranked = rows.join(median, "sub").groupBy("sub").agg(
+        F.avg((F.col("size") < F.col("q50")).cast("int")).alias("below"), F.avg((F.col("size") <= F.col("q50")).cast("int")).alias("upto"))
+    sizes = ranked.agg(F.count("*").alias("groups"), F.count_if((F.col("below") <= 0.56) & (F.col("upto") >= 0.44)).alias("sizes_within"))
+    exact = table(spark, sf, "orders").agg(F.count_distinct("o_orderkey").alias("exact"))
+    off = F.abs(t["counts"].select("n_pmids").scalar() / exact.scalar() - 1)
+    return sizes.select((off < 4 * 1.04 / 2 ** (pack.HLL_LG / 2)).alias("ids_within"), "groups", "sizes_within")
+
+
+@bound(f"""SELECT 'subspecialties' AS name, count(DISTINCT sub) AS n FROM ({DOCUMENT_SQL})
+  UNION ALL SELECT 'counts', 1 UNION ALL SELECT 'per_year', count(DISTINCT year(o_orderdate)) FROM ({DOCUMENT_SQL})
+  UNION ALL SELECT 'outcomes', count(DISTINCT outcome) FROM ({ENTITY_SQL})
+  UNION ALL SELECT 'export', count(*) FROM ({ENTITY_SQL})""")
+def written_pack(spark, sf):
+    """The whole pack written to a folder, and rows of some of its tables read back."""
+    base = shared_folder(spark, "written")
+    docs = sinks.stage_rows(documents(spark, sf).select("pmid", "doc"), base, "docs")
+    report.write_pack(docs, f"{base}/pack")
+    out = [spark.read.option("header", True).csv(f"{base}/pack/{name}").agg(F.lit(name).alias("name"), F.count("*").alias("n"))
+           for name in ("subspecialties", "counts", "per_year", "outcomes")]
+    out.append(spark.read.parquet(f"{base}/pack/export").agg(F.lit("export").alias("name"), F.count("*").alias("n")))
+    return chunks.union_shards(out)

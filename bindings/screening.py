@@ -243,6 +243,15 @@ def extraction_prompt_texts(spark, sf):
     return sent.select("pmid", F.md5(F.col("messages")[1]["content"]).alias("digest"))
 
 
+@bound(f"""SELECT pmid, md5('pmid = ' || pmid || chr(10) || 'title = ' || {_NORM.format('title')} || chr(10) || 'journal = ' || journal
+    || chr(10) || 'pub_date = ' || pub_date || chr(10) || 'publication_types = ' || journal || chr(10) || 'keywords = ' || lang || '; ' || journal
+    || chr(10) || 'mesh_terms = M ' || lang || chr(10) || 'abstract:' || chr(10) || {_NORM.format('abstract')} || chr(10)) AS digest,
+    2 AS messages FROM ({ARTICLES_SQL})""")
+def default_prompt_texts(spark, sf):
+    sent = prompts.render_prompts(articles(spark, sf), style="short")
+    return sent.select("pmid", F.md5(F.col("messages")[1]["content"]).alias("digest"), F.size("messages").alias("messages"))
+
+
 @bound("""SELECT p_partkey, p_name || ' [' || lower(p_type) || '; ' || p_brand || ']; ' || p_type || '; ' || p_brand AS mesh
   FROM part""")
 def mesh_strings(spark, sf):

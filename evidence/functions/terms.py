@@ -50,10 +50,9 @@ def fold(s: str) -> str:
 
 def folded(c: Column | str) -> Column:
     odd, plain = "".join(_FOLDED), "".join(_FOLDED.values())
-    # texts in ASCII have none of these
-    special = F.when(F.octet_length(col(c)) == F.char_length(col(c)), col(c)).otherwise(
-        F.translate(col(c), odd, plain))
-    return F.lower(special)
+    # texts in ASCII have none of these; lower() gives a capital sigma by its place in the word
+    return F.when(F.octet_length(col(c)) == F.char_length(col(c)), F.lower(col(c))).otherwise(
+        F.translate(F.lower(F.translate(col(c), odd, plain)), "ς", "σ"))
 
 
 def _words(term: str) -> list[str]:

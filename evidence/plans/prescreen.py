@@ -28,7 +28,7 @@ def outgoing(source: DataFrame, rules: PrefilterRules = PrefilterRules(),
              done: DataFrame | None = None) -> DataFrame:
     """Prompts of the rows that passed the prefilter."""
     kept = candidates(source, rules, done).filter(~F.col("excluded"))
-    return prompts.screening_prompts(kept, "record_key")
+    return prompts.screening_prompts(kept, "record_key", rules=rules)
 
 
 def prescreen(source: DataFrame, responses: DataFrame, rules: PrefilterRules = PrefilterRules(),
