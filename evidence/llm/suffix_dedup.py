@@ -44,12 +44,21 @@ HOT = 4096
 COLLECTION_BYTES = 1 << 20
 CHUNK = 8 << 20
 PLACE_BITS = 24
+SLICE_ROWS, SLICE_BYTES = 256, 2 << 20
 _TABLE = np.random.default_rng(10).integers(1, 1 << 63, 256, dtype=np.uint64)
 PLACED = "doc_id long, text_hash long, start int, size int, at int"
 INTERVAL = "doc_id long, text_hash long, start int, stop int"
 SEGMENT_KEYS = ("anchor", "content", "size", "at")
 
 
+def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in parts of about SLICE_BYTES, so that what is made of them stays small."""
+    for batch in batches:
+        rows = max(1, min(SLICE_ROWS, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes)))
+        for a in range(0, batch.num_rows, rows):
+            yield batch.slice(a, rows)
+
+
 def word_hashes(data: np.ndarray, width: int) -> np.ndarray:
     """Hash of the ``width`` bytes (a power of two) from each place on."""
     h, factor, n = _TABLE[data], 0x9E3779B97F4A7C15, 1
@@ -93,7 +102,7 @@ def numbered(docs: DataFrame, stage: Stage) -> DataFrame:
 def placed(docs: DataFrame, length: int) -> DataFrame:
     """One row per segment: document, start, size, at, anchor, content (hash of its bytes)."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             rows = [[], [], [], [], [], []]
             for k, text in enumerate(batch.column("text").cast(pa.binary())):
                 data = text.as_py() or b""
@@ -119,7 +128,7 @@ def with_texts(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
     """doc_id, text_hash, packed text and the lists of a document; texts travel compressed."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd")
-        for batch in batches:
+        for batch in small(batches):
             texts = [t.as_py() or b"" for t in batch.column("text").cast(pa.binary())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array([len(t) for t in texts], pa.int64()),
@@ -142,17 +151,18 @@ def cut_out(docs: DataFrame, live: DataFrame) -> DataFrame:
     lists = live.groupBy(*ROW).agg(F.collect_list(F.struct("anchor", "start", "size", "at")).alias("s"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            of, rows, cut = [], [], []
-            for k, (text, own) in enumerate(zip(unpacked(batch), batch.column("s").to_pylist(), strict=True)):
-                of += [k] * len(own)
-                rows += own
-                cut += [text[x["start"]:x["start"] + x["size"]] for x in own]
-            take = pa.array(of, pa.int64())
+        for batch in small(batches):
+            found, take = batch.column("s").flatten(), batch.column("s").value_parent_indices()
+            own = {c: found.field(i) for i, c in enumerate(("anchor", "start", "size", "at"))}
+            of, start, size = take.to_numpy(), own["start"].to_numpy(), own["size"].to_numpy()
+            bounds = np.searchsorted(of, np.arange(batch.num_rows + 1))
+            cut: list[bytes] = []
+            for k, text in enumerate(unpacked(batch)):
+                a, b = bounds[k], bounds[k + 1]
+                cut += [text[x:y] for x, y in zip(start[a:b].tolist(), (start[a:b] + size[a:b]).tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(take), batch.column("text_hash").take(take),
-                 *[pa.array([x[c] for x in rows], pa.int32()) for c in ("start", "size", "at")],
-                 pa.array([x["anchor"] for x in rows], pa.int64()), pa.array(cut, pa.binary())],
+                 own["start"], own["size"], own["at"], own["anchor"], pa.array(cut, pa.binary())],
                 names=["doc_id", "text_hash", "start", "size", "at", "anchor", "bytes"])
     return with_texts(docs, lists, "inner").mapInArrow(work, f"{PLACED}, anchor long, bytes binary")
 
@@ -287,7 +297,7 @@ def judged(cut: DataFrame, length: int) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, most = [], 0
-        for group in groups_of(batches, ("anchor",)):
+        for group in groups_of(small(batches), ("anchor",)):
             held.append(group)
             most += group.column("bytes").nbytes
             if most >= COLLECTION_BYTES:
@@ -301,7 +311,7 @@ def judged(cut: DataFrame, length: int) -> DataFrame:
 def hot_strings(cut: DataFrame, length: int, stage: Stage) -> DataFrame:
     """Intervals to remove among the segments of very frequent anchors, string by string."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             of, start, names = [], [], []
             for k, (at, data) in enumerate(zip(batch.column("start").to_pylist(),
                                                batch.column("bytes").to_pylist(), strict=True)):
@@ -358,7 +368,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             removed, n_spans, kept = [], [], []
             for text, gone in zip(unpacked(batch), batch.column("gone"), strict=True):
                 spans = merged(gone.values) if gone.is_valid else []
