@@ -41,7 +41,7 @@ PERCENT = 80
 HASHES = 120
 BATCH = 24
 MISS = 1e-6
-BLOCK = 512
+BLOCK = 1024
 SEED = 20
 SIGNED = "doc_id long, text_hash long, n_shingles long, class binary, signature binary"
 
