@@ -1,7 +1,7 @@
 """Names by hierarchy: a tree of terms walked upwards to the nearest name that is known.
 
 The tree is a table (term, parent); a term may have several parents, as a descriptor has that
-stands in several places. One recursive query gives every term's ancestors with their distance;
+stands in several places. One join per level gives every term's ancestors with their distance;
 labels are then mapped by an equi-join, however many rows have them.
 """
 
@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..session import cut_lineage
 
 MAX_DEPTH = 32
 
@@ -21,20 +22,21 @@ def ancestors(tree: DataFrame, terms: DataFrame | None = None, max_depth: int =
     ``terms`` (a column ``term``) says where to start, all of the tree for None. Of several ways
     up the shortest counts; cycles end at ``max_depth``. Terms are compared as vocabulary keys.
     """
-    spark = tree.sparkSession
     edges = tree.select(text.label("term").alias("term"), text.label("parent").alias("parent")) \
         .filter("term <> '' AND parent <> '' AND term <> parent").distinct()
     if terms is None:
         start = edges.select("term").union(edges.select("parent")).distinct()
     else:
         start = terms.select(text.label("term").alias("term")).filter("term <> ''").distinct()
-    walked = spark.sql(f"""
-        WITH RECURSIVE up(term, ancestor, distance) AS (
-          SELECT term, term, 0 FROM {{start}}
-          UNION ALL
-          SELECT up.term, e.parent, up.distance + 1 FROM up JOIN {{edges}} e ON up.ancestor = e.term
-          WHERE up.distance < {int(max_depth)})
-        SELECT term, ancestor, distance FROM up""", start=start, edges=edges)
+    edges = cut_lineage(edges.select(F.col("term").alias("ancestor"), "parent"))
+    level = walked = cut_lineage(start.select("term", F.col("term").alias("ancestor"), F.lit(0).alias("distance")))
+    for distance in range(1, int(max_depth) + 1):
+        # a level is stored before the next one, and holds an ancestor once by however many ways
+        level = cut_lineage(level.join(edges, "ancestor").select("term", F.col("parent").alias("ancestor"))
+                            .distinct().withColumn("distance", F.lit(distance)))
+        if level.isEmpty():
+            break
+        walked = walked.unionByName(level)
     return walked.groupBy("term", "ancestor").agg(F.min("distance").alias("distance"))
 
 
