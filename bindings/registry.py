@@ -26,11 +26,15 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Narrow rows dealt out to all cores before work that is heavy per row.
+#: rows of one task where work is heavy per row
+ROWS_PER_TASK = 50_000
 
-    The given tables are single files, which one task would read and process alone.  A scan
-    that has a task for each core already is left as it is.
+
+def spread(df: DataFrame, key: str, rows: int = ROWS_PER_TASK) -> DataFrame:
+    """Narrow rows dealt out before work that is heavy per row: to all cores, ``rows`` to a task.
+
+    A scan deals out bytes, and a file's row groups as a whole.  Narrow rows are so many to a
+    byte that a few tasks would have all the work, however many splits there are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    return df.repartition(max(cores, -(-df.count() // rows)), key)
