@@ -136,11 +136,13 @@ def best_attempt(responses: DataFrame,
     """One row per key: the first attempt that gave an object, else the last one.
 
     Adds ``raw`` (VARIANT, null when no attempt was good), ``ok`` and ``error``.  Each text
-    is parsed once; the group limit before the shuffle keeps one row per key and task.
+    is parsed once; the group limit before the shuffle keeps one row per key and task, and only
+    texts of failures go through it.
     """
     parsed = text.computed(responses, {
         "raw": F.when(F.col("status") == 200, jsontext.parse_object("content"))})
-    ranked = parsed.withColumn("ok", F.col("raw").isNotNull())
+    ranked = parsed.withColumn("ok", F.col("raw").isNotNull()) \
+        .withColumn("content", F.when(~F.col("ok"), F.col("content")))
     w = Window.partitionBy(*keys).orderBy(
         F.desc("ok"), F.when(F.col("ok"), F.col("attempt")).otherwise(-F.col("attempt")))
     return (ranked.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
