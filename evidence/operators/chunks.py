@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..schema import CHUNK_ROWS, CORPUS_YEARS, PAGE_ROWS, SHARD_ROWS
 from ..session import cut_lineage
+from ..sources.sinks import PACKED
 
 DEEP_ROWS = 100_000
 BLOCK_ROWS = 100_000
@@ -70,13 +71,13 @@ def manifest(chunked: DataFrame) -> DataFrame:
     return chunked.groupBy("chunk_id").agg(F.count("*").alias("n"))
 
 
-def write_chunks(chunked: DataFrame, path: str, rows: int = SHARD_ROWS) -> None:
+def write_chunks(chunked: DataFrame, path: str, rows: int = SHARD_ROWS, packed: bool = False) -> None:
     """One folder per chunk, at most ``rows`` records per file.
 
     Rows are rebalanced by chunk and part: large parts are split, small ones are merged.
     """
     (chunked.hint("rebalance", F.col("chunk_id"), F.col("part")).write.mode("overwrite")
-     .partitionBy("chunk_id").option("maxRecordsPerFile", rows)
+     .partitionBy("chunk_id").option("maxRecordsPerFile", rows).options(**(PACKED if packed else {}))
      .option("ignoreNullFields", "false").json(path))
 
 

@@ -7,7 +7,7 @@ a manifest of files with the records found in each.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,12 +21,18 @@ from ..sources import article_xml, commits, sinks
 def acquire(articles: DataFrame, groups: Sequence[Sequence[str]] = CORPUS_GROUPS,
             years: tuple[int, int] | None = CORPUS_YEARS,
             excluded_types: Sequence[str] = CORPUS_EXCLUDED_TYPES,
-            max_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Matching articles with ``chunk_id`` and ``part``; one row per id."""
+            max_rows: int = CHUNK_ROWS, stored: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Matching articles with ``chunk_id`` and ``part``; one row per id.
+
+    Chunks are planned from counts of the same rows: with ``stored``, which writes rows and reads
+    them back, their texts go through one shuffle for both.
+    """
     hits = screen.corpus_filter(articles, groups, years, excluded_types)
     # one order for equal ids, whatever task read them
     order = [c for c in ("pub_date", "title", "abstract", "doi") if c in hits.columns]
     unique = records.dedupe_first(hits, scope="global", order=order)
+    if stored is not None:
+        unique = stored(unique)
     return chunks.plan_chunks(unique, max_rows=max_rows, years=years or CORPUS_YEARS)
 
 
@@ -73,8 +79,11 @@ def run_acquire(spark: SparkSession, source: str, base: str, run: str, rows: int
         records_ = sinks.stage_rows(article_xml.read_article_xml(spark, todo, glob, file="_file"),
                                     f"{base.rstrip('/')}/parsed", run, own.attempt)
         known = commits.read(spark, base, "acquire", run, "ids", "pmid string", without=own.replaces)
-        chunked = acquire(records.pending(records_, known), **options)
-        chunks.write_chunks(chunked.drop("_file"), own.folder("chunks"), rows)
+        scratch = f"{base.rstrip('/')}/unique"
+        chunked = acquire(records.pending(records_, known).drop("_file"),
+                          stored=lambda df: sinks.stage_rows(df, scratch, run, own.attempt), **options)
+        chunks.write_chunks(chunked, own.folder("chunks"), rows, packed=True)
+        commits.drop_folder(spark, commits.folder(scratch, "rows", run, own.attempt))
         chunked = spark.read.schema(f"{ARTICLE_TYPE}, chunk_id string").json(own.folder("chunks"))
         chunked.select("pmid").filter("pmid <> ''").distinct().write.mode("overwrite").parquet(own.folder("ids"))
         chunks.manifest(chunked).write.mode("overwrite").parquet(own.folder("manifest"))
