@@ -318,10 +318,14 @@ def ancestors_at_depth(spark, sf):
 
 # --- the analysis pack in parts -------------------------------------------------------------------------
 
-def _pack(spark, sf):
+def _pack_documents(spark, sf):
+    """What the pack reads of the orders' documents, as a stored table: parts and checks read it often."""
+    return sinks.stage_rows(documents(spark, sf, pack.fields()).select("pmid", "doc"), shared_folder(spark, "packed"), "r")
+
+
+def _pack(spark, docs):
     """The pack of the orders in two parts, the first of which is added twice."""
     base = shared_folder(spark, "pack")
-    docs = documents(spark, sf, pack.fields())
     for name in ("even", "odd", "even"):
         pack.add_part(docs.filter(F.col("pmid").cast("bigint") % 2 == (0 if name == "even" else 1)), base, "r", name)
     return pack.pack_tables(spark, base, "r")
@@ -339,7 +343,7 @@ def _pack(spark, sf):
     FROM ({DOCUMENT_SQL})) UNPIVOT (value FOR stat IN (mean, std, q25, q50, q75))""")
 def pack_in_parts(spark, sf):
     """Exact tables of the merged pack."""
-    t = _pack(spark, sf)
+    t = _pack(spark, _pack_documents(spark, sf))
 
     def shown(name, key, n=None, value=None, df=None):
         return (t[name] if df is None else df).select(
@@ -361,8 +365,9 @@ def pack_in_parts(spark, sf):
   WHERE sample_size IS NOT NULL GROUP BY sub)""")
 def pack_sketches(spark, sf):
     """Whether distinct ids and medians of sample sizes lie within four times their stated errors."""
-    t = _pack(spark, sf)
-    rows = documents(spark, sf, pack.fields()).select(F.explode("doc.model_level").alias("e")).select(
+    docs = _pack_documents(spark, sf)
+    t = _pack(spark, docs)
+    rows = docs.select(F.explode("doc.model_level").alias("e")).select(
         F.col("e.disease_subspecialty").alias("sub"), F.col("e.sample_size").alias("size")).filter("size is not null")
     median = t["sample_sizes"].select(F.col("disease_subspecialty").alias("sub"), "q50")
     ranked = rows.join(median, "sub").groupBy("sub").agg(
