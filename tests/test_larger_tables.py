@@ -11,6 +11,8 @@ from bindings import registry, runs
 from evidence.llm import token_files
 from evidence.operators import hierarchy, records
 from evidence.plans import acquire, extract
+from evidence.schema import DEFAULT_SCHEMA
+from evidence.sources import jsonl
 
 
 def test_a_tree_of_more_rows_than_a_recursion_may_have(spark):
@@ -62,6 +64,29 @@ def test_texts_of_good_answers_stay_out_of_the_shuffle(spark, capsys):
     assert got == {"1": (1, True, None), "2": (2, False, "HTTP 500: WORSE"), "3": (1, False, "HTTP 500: ")}
 
 
+def test_answers_are_not_broadcast(spark):
+    source = records.with_record_key(positioned(spark, [str(i) for i in range(20)]))
+    said = answered(spark, source)
+    model = said.first()["model"]
+    rows = records.attach(source, said, model, 1)
+    assert sum(r.error is None for r in rows.drop("raw").collect()) == 20
+    assert len(rows.collect()) == 20
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_a_stored_document_is_cast_once_for_its_entities(spark, tmp_path):
+    lines = ['{"article_level": {"pmid": "1"}, "model_level": [{"model_id_within_article": 1}, 7]}',
+             '{"article_level": {"pmid": "2"}, "model_level": []}', '{"article_level": {"pmid": "3"}}', '{}', '  {} x']
+    (tmp_path / "part.json").write_text("\n".join(lines))
+    _, ent = jsonl.split_levels(jsonl.read_documents(spark, str(tmp_path)))
+    assert sorted((r._source_pmid, r.model_id_within_article or 0) for r in ent.collect()) == [("1", 0), ("1", 1)]
+    assert len(ent.columns) == len(DEFAULT_SCHEMA.entity_fields) + 2
+    plan = ent._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("StructField(article_level") == 1
+    assert plan.count("makeValid") == 1
+
+
 def test_streams_are_packed(spark, tmp_path):
     source = positioned(spark, [str(i) for i in range(200)])
     extract.run_extract(source, answered(spark, source), str(tmp_path), "r")
