@@ -4,6 +4,10 @@ A round asks the user's own batch function for the keys that have no good answer
 tasks that hold their prompts, and commits what came back as a part of the run. A round that breaks
 off is asked again as a whole; a run that is started again goes on where the commits end. The
 stored attempts are a response table like any other: `records.best_attempt` picks from it.
+
+Prompts are rendered for the first round only. A round stores those it got no good answer to beside
+their keys, in a folder of its own that the next round reads and that is then removed: later rounds
+neither render nor shuffle prompts.
 """
 
 from __future__ import annotations
@@ -36,9 +40,17 @@ def final_screening(status: Column, content: Column) -> Column:
     return (status == 200) & (jsontext.parse_screening(content).isNotNull() | (F.locate("{", content) == 0))
 
 
-def asked(prompts: DataFrame, infer: Infer, model: str, pass_no: int, attempt: int, batch: int = BATCH) -> DataFrame:
-    """One attempt at each prompt; a prompt whose batch raises has no status and the error as content."""
+def asked(prompts: DataFrame, infer: Infer, model: str, pass_no: int, attempt: int, batch: int = BATCH,
+          carried: bool = False) -> DataFrame:
+    """One attempt at each prompt; a prompt whose batch raises has no status and the error as content.
+
+    With ``carried``, the prompt follows its answer, as ``_key`` and ``_messages``.
+    """
     key = next(c for c in prompts.columns if c != "messages")
+    schema = RESPONSE_TYPE
+    if carried:
+        kinds = {f.name: f.dataType.simpleString() for f in prompts.schema}
+        schema += f", _key {kinds[key]}, _messages {kinds['messages']}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -52,12 +64,13 @@ def asked(prompts: DataFrame, infer: Infer, model: str, pass_no: int, attempt: i
                 if len(said) != len(keys):
                     raise ValueError(f"{len(keys)} prompts were given, {len(said)} answers came back")
                 n = len(keys)
+                own = [part.column(key), part.column("messages")] if carried else []
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys, pa.string()), pa.array([model] * n), pa.array([pass_no] * n, pa.int32()),
                      pa.array([attempt] * n, pa.int32()), pa.array([s for s, _ in said], pa.int32()),
-                     pa.array([c for _, c in said], pa.string())],
-                    names=["pmid", "model", "pass", "attempt", "status", "content"])
-    return prompts.select(key, "messages").mapInArrow(run, RESPONSE_TYPE)
+                     pa.array([c for _, c in said], pa.string()), *own],
+                    names=["pmid", "model", "pass", "attempt", "status", "content", *(["_key", "_messages"] if carried else [])])
+    return prompts.select(key, "messages").mapInArrow(run, schema)
 
 
 def read_attempts(spark: SparkSession, base: str, run: str) -> DataFrame:
@@ -73,24 +86,54 @@ def run_prompts(prompts: DataFrame, infer: Infer, base: str, run: str, model: st
     """
     spark = prompts.sparkSession
     key = next(c for c in prompts.columns if c != "messages")
+    stored = None  # the folder of what the last round of this call asked
     while True:
         done = [r for r in commits.live(spark, base, KIND, run)]
         attempt = len(done) + 1
         last = max(done, key=lambda r: int(r.part)) if done else None
         if attempt > max_attempts or (last and last.counters["asked"] == last.counters["good"]):
+            if stored is not None:
+                commits.drop_folder(spark, stored)
             return read_attempts(spark, base, run)
-        held = commits.read(spark, base, KIND, run, "attempts", f"{RESPONSE_TYPE}, good boolean")
-        answered = held.filter("good").select(F.col("pmid").alias(key)).distinct()
-        todo = prompts.join(answered, key, "left_anti") if done else prompts
+        if stored is not None:
+            todo = _unanswered(spark.read.parquet(stored), key)
+        elif done:
+            commits.drop_folder(spark, commits.folder(base, "asked", run, last.attempt))  # of a call that broke off
+            held = commits.read(spark, base, KIND, run, "attempts", f"{RESPONSE_TYPE}, good boolean")
+            todo = prompts.join(held.filter("good").select(F.col("pmid").alias(key)).distinct(), key, "left_anti")
+        else:
+            todo = prompts
         own = commits.begin(spark, base, KIND, run, part=str(attempt))
-        said = asked(todo, infer, model, pass_no, attempt)
-        said.withColumn("good", F.coalesce(good(F.col("status"), F.col("content")), F.lit(False))) \
-            .write.mode("overwrite").parquet(own.folder("attempts"))
+        more = attempt < max_attempts
+        said = asked(todo, infer, model, pass_no, attempt, carried=more).withColumn(
+            "good", F.coalesce(good(F.col("status"), F.col("content")), F.lit(False)))
+        before, stored = stored, None
+        if more:
+            # a prompt without key is asked in every round: no answer can be told to be its own
+            open_, stored = ~F.col("good") | F.col("_key").isNull(), own.folder("asked")
+            said.withColumn("_messages", F.when(open_, F.col("_messages"))).withColumn("_open", open_) \
+                .write.mode("overwrite").option("compression", "zstd").parquet(stored)
+            said = spark.read.parquet(stored).drop("_key", "_messages", "_open")
+        said.write.mode("overwrite").parquet(own.folder("attempts"))
+        if before is not None:
+            commits.drop_folder(spark, before)
         row = spark.read.schema("good boolean").parquet(own.folder("attempts")).agg(
             F.count("*").alias("asked"), F.count_if("good").alias("good")).first()
         commits.commit(spark, own, row.asDict())
 
 
+def _unanswered(asked_: DataFrame, key: str) -> DataFrame:
+    """Prompts of a stored round whose key got no good answer in it.
+
+    A key that is there once has its answer in its own row, and no join is needed. Only where one
+    comes several times, with a good answer and another, the good one settles all its rows.
+    """
+    todo = asked_.filter("_open").select(F.col("_key").alias(key), F.col("_messages").alias("messages"))
+    mixed = (asked_.groupBy("pmid").agg(F.count("*").alias("n"), F.bool_or("good").alias("any"), F.bool_or("_open").alias("open"))
+             .filter("n > 1 and any and open").select(F.col("pmid").alias(key)))
+    return todo.join(mixed, key, "left_anti") if mixed.limit(1).count() else todo
+
+
 def rounds(spark: SparkSession, base: str, run: str) -> DataFrame:
     """attempt, asked and good of each committed round."""
     return commits.history(spark, base, KIND, run).filter("live").select(

@@ -99,6 +99,28 @@ def test_rounds_go_on_where_the_commits_end(spark, tmp_path, monkeypatch):
         rounds.asked(asked, lambda k, m, a: [], "m", 1, 1).count()
 
 
+def test_later_rounds_neither_render_nor_lose_prompts(spark, tmp_path):
+    """Every prompt is made once; a key that comes twice is settled by its one good answer, a null key never is."""
+    made = spark.sparkContext.accumulator(0)
+
+    def render(k):
+        made.add(1)
+        return "None" if k is None else k
+    words = F.udf(render, "string")
+    keys = spark.createDataFrame([(str(i),) for i in range(8)] + [("5",), (None,)], "k string").repartition(1)
+    asked = keys.select("k", F.array(F.struct(F.lit("user").alias("role"), words("k").alias("content"))).alias("messages"))
+
+    def infer(keys_, messages, attempt):
+        assert [m[0]["content"] for m in messages] == list(keys_)
+        fives = iter((False, True))
+        return [(200, '{"a": 1}') if (next(fives, True) if k == "5" else k == "None" or int(k) % 3 < attempt) else (429, "") for k in keys_]
+    got = rounds.run_prompts(asked, infer, str(tmp_path), "r", max_attempts=3)
+    told = {r.attempt: (r.asked, r.good) for r in rounds.rounds(spark, str(tmp_path), "r").collect()}
+    assert told == {1: (10, 5), 2: (5, 4), 3: (2, 2)} and got.count() == 17
+    assert made.value == 10
+    assert not any(p.is_file() for p in (tmp_path / "asked").rglob("*"))
+
+
 def test_a_merged_pack_equals_the_pack_of_all(spark, tmp_path):
     docs = normalised(spark, DEFAULT_SCHEMA).select("doc")
     docs = docs.unionByName(docs.limit(1)).withColumn("half", F.monotonically_increasing_id() % 2)
