@@ -65,9 +65,8 @@ def _quoted(c: Column) -> Column:
 
 
 def _pairs(items: dict[str, Column]) -> Column:
-    """JSON object of the non-null values, each already JSON text."""
-    return F.concat(F.lit("{"), F.array_join(F.array_compact(F.array(
-        *[F.concat(F.lit(f'"{k}": '), v) for k, v in items.items()])), ", "), F.lit("}"))
+    """JSON object of the non-null values, each already JSON text; a join leaves nulls out."""
+    return F.concat(F.lit("{"), F.concat_ws(", ", *[F.concat(F.lit(f'"{k}": '), v) for k, v in items.items()]), F.lit("}"))
 
 
 def _scores(seed: Column) -> Column:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col, has_text, label, label_of, let, norm_text, strip
+from .text import col, either, has_text, label, label_of, let, norm_text, plain_label, strip
 
 # fixed values: words read as booleans
 TRUE_WORDS = ("true", "1", "yes", "y")
@@ -38,8 +38,7 @@ def bool_of_text(c: Column | str) -> Column:
 
 def to_bool_or_null(v: Column | str) -> Column:
     v = col(v)
-    return (F.when(_is_string(v), bool_of_text(_as_text(v)))
-            .otherwise(F.try_variant_get(v, "$", "boolean")))
+    return either(_is_string(v), bool_of_text(_as_text(v)), F.try_variant_get(v, "$", "boolean"))
 
 
 def to_bool(v: Column | str, default: bool = False) -> Column:
@@ -64,27 +63,31 @@ def float_of_text(c: Column | str) -> Column:
 def to_int_or_null(v: Column | str) -> Column:
     """Integer of any scalar; fractions are cut toward zero."""
     v = col(v)
-    return (F.when(_is_string(v), int_of_text(_as_text(v)))
-            .otherwise(F.try_variant_get(v, "$", "bigint")))
+    return either(_is_string(v), int_of_text(_as_text(v)), F.try_variant_get(v, "$", "bigint"))
 
 
 def to_float_or_null(v: Column | str) -> Column:
     v = col(v)
-    return (F.when(_is_string(v), float_of_text(_as_text(v)))
-            .otherwise(F.try_variant_get(v, "$", "double")))
+    return either(_is_string(v), float_of_text(_as_text(v)), F.try_variant_get(v, "$", "double"))
 
 
 def _clamped(v: Column, lo: int, hi: int) -> Column:
     # greatest/least skip nulls, so null needs its own branch; a number beyond 64 bits
     # still clamps to the right bound, by way of double
     def bounded(n: Column, low, high) -> Column:
-        return F.when(n.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), n)).cast("int"))
+        return either(n.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), n)), F.lit(None)).cast("int")
 
-    text = let(_first_number(_as_text(v), r"-?\d+"), lambda d: F.coalesce(
-        bounded(d.try_cast("bigint"), lo, hi), bounded(d.try_cast("double"), float(lo), float(hi))))
-    return F.when(_is_string(v), text).otherwise(F.coalesce(
-        let(F.try_variant_get(v, "$", "bigint"), lambda n: bounded(n, lo, hi)),
-        let(F.try_variant_get(v, "$", "double"), lambda n: bounded(n, float(lo), float(hi)))))
+    def of_text(t: Column) -> Column:
+        return let(_first_number(t, r"-?\d+"), lambda d: F.coalesce(
+            bounded(d.try_cast("bigint"), lo, hi), bounded(d.try_cast("double"), float(lo), float(hi))))
+
+    def of_value(x: Column) -> Column:
+        whole = let(F.try_variant_get(x, "$", "bigint"), lambda n: bounded(n, lo, hi))
+        real = let(F.try_variant_get(x, "$", "double"), lambda n: bounded(n, float(lo), float(hi)))
+        return F.coalesce(whole, real)
+
+    return either(v.isNull(), F.lit(None).cast("int"),
+                  either(_is_string(v), of_text(_as_text(v)), of_value(v)))
 
 
 def clamp_all(values: Sequence[Column], lo: int, hi: int) -> Column:
@@ -128,6 +131,12 @@ def coerce_enum(c: Column | str, allowed: Sequence[str], default: str) -> Column
     by_label: dict[str, str] = {}
     for member in allowed:
         by_label.setdefault(label_of(member), member)
+    if all(label_of(m) == m for m in allowed):
+        # members are their own labels: looked up in a hash set, the label rule last
+        def member_or(value: Column, other: Column) -> Column:
+            return either(value.isin(*allowed), value, other)
+        return member_or(col(c), let(plain_label(c), lambda p: member_or(
+            p, let(label(c), lambda n: member_or(n, F.lit(default))))))
     # well-spelled answers hit the first lookup and skip the label rule
     exact = {m: m for m in allowed}
     found = F.coalesce(F.try_element_at(_literal_map(exact), col(c)), *(
@@ -164,9 +173,9 @@ def score_block(raw: Column, keys: Sequence[str], total_key: str,
                      F.aggregate(known, F.lit(0), lambda a, s: a + s).alias("sum")),
             lambda y: F.struct(
                 F.struct(*[y["subs"][i].alias(k) for i, k in enumerate(keys)],
-                         F.when(y["n"] == len(keys), y["sum"])
-                         .when(y["given"].isNotNull(), y["given"])
-                         .when(y["n"] > 0, F.least(y["sum"], F.lit(total_max)))
+                         either(y["n"] == len(keys), y["sum"],
+                                F.coalesce(y["given"], either(y["n"] > 0, F.least(y["sum"], F.lit(total_max)),
+                                                              F.lit(None).cast("int"))))
                          .alias(total_key)).alias("scores"),
                 F.coalesce((y["n"] == len(keys)) & (y["given"] != y["sum"]), F.lit(False))
                 .alias("mismatch")))

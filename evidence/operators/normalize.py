@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import coerce, text
-from ..functions.text import let
+from ..functions.text import either, let
 from ..schema import (DEFAULT_SCHEMA, ERROR_CONFIDENCE_CAP, NOTE_CHARS, REVIEW_THRESHOLD,
                       SCORE_KEYS, SUB_MAX, TOTAL_KEY, TOTAL_MAX, ExtractionSchema, Field)
 
@@ -133,11 +133,11 @@ def _level(fields: Sequence[Field], raw: Column, prefix: Column, schema: Extract
         values = {f.name: b[f.name] if f.kind == "enum"
                   else b[f.name]["scores"] if f.kind == "score"
                   else _simple(f, raw, source) for f in fields}
-        issues = [F.when(coerce.out_of_set(raw[f.name], b[f.name], f.default,
+        issues = [either(coerce.out_of_set(raw[f.name], b[f.name], f.default,
                                            schema.strict_default),
-                         F.concat(prefix, F.lit(f".{f.issue}"))) for f in enums]
-        issues += [F.when(b[f.name]["mismatch"],
-                          F.concat(prefix, F.lit(".quality_score_total_mismatch")))
+                         F.concat(prefix, F.lit(f".{f.issue}")), F.lit(None)) for f in enums]
+        issues += [either(b[f.name]["mismatch"],
+                          F.concat(prefix, F.lit(".quality_score_total_mismatch")), F.lit(None))
                    for f in scores]
         return finish(values, F.array_compact(F.array(*issues)) if issues else _no_text())
 
@@ -177,8 +177,7 @@ def _entities(r: Column, schema: ExtractionSchema, needs: Needs) -> Column:
 
         bad = F.struct(F.lit(None).alias("doc"),
                        F.array(F.concat(prefix, F.lit("_not_object"))).alias("issues"))
-        return (F.when(m.isNull(), bad)
-                .otherwise(_level(fields, m, prefix, schema, {}, finish)))
+        return either(m.isNull(), bad, _level(fields, m, prefix, schema, {}, finish))
 
     fields = needs.of(schema.entity_key, schema.entity_fields)
     models = F.coalesce(r[schema.entity_key], F.array().cast(schema.raw_entities_type(fields)))
@@ -243,13 +242,11 @@ def _issues(r: Column, x: Column, schema: ExtractionSchema, error: Column | None
         F.when(r[schema.article_key].isNull(), F.lit(f"missing_{schema.article_key}")),
         F.when(r[schema.entity_key].isNull(), F.lit(f"missing_{schema.entity_key}_array"))))
     negative = F.when(a[schema.article_count] < 0, F.array(F.lit("number_of_models_negative")))
-    found = F.when(r.isNull(), F.array(F.lit("top_level_not_object"))).otherwise(F.concat(
-        structure, a["issues"], F.flatten(F.transform(x["entities"], lambda e: e["issues"])),
-        F.coalesce(negative, none)))
+    found = either(r.isNull(), F.array(F.lit("top_level_not_object")), F.concat(
+        structure, a["issues"], F.flatten(x["entities"]["issues"]), F.coalesce(negative, none)))
     if error is None:
         return found
-    return F.when(error.isNotNull(), F.array(F.concat(label, F.lit(":"), text.norm_text(error)))
-                  ).otherwise(found)
+    return either(error.isNotNull(), F.array(F.concat(label, F.lit(":"), text.norm_text(error))), found)
 
 
 def _document(r: Column, a: Column, models: Column | None, issues: Column | None, schema: ExtractionSchema,
@@ -259,7 +256,7 @@ def _document(r: Column, a: Column, models: Column | None, issues: Column | None
     derived: dict[str, Column] = {}
     if {schema.article_count, schema.article_multi} & wanted:
         given = a[schema.article_count]
-        count = F.when(given >= 0, given).otherwise(F.size(models).cast("bigint"))
+        count = either(given >= 0, given, F.size(models).cast("bigint"))
         derived |= {schema.article_count: count, schema.article_multi: count > 1}
     for flag, inner in ((schema.article_external, schema.entity_external),
                         (schema.article_internal, schema.entity_internal)):

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from evidence.functions import coerce, jsontext, text
-from evidence.schema import METHOD_GROUPS, SCORE_KEYS
+from evidence.schema import METHOD_GROUPS, SCORE_KEYS, SUBSPECIALTIES
 
 
 def check(spark, rows, expression, dtype="string"):
@@ -195,3 +195,14 @@ def test_render_does_not_scan_inserted_text(spark):
 def test_language_flag(spark):
     check(spark, [("the cat and the dog", "en"), ("der Hund und die Katze", "de"), ("xyz", None), (None, None)],
           text.abstract_language)
+
+
+def test_vocabularies_are_looked_up_in_sets_in_every_spelling(spark):
+    """A vocabulary of plain labels needs no search through a map; spellings find what the label rule finds."""
+    forms = (str, str.upper, lambda m: m.replace("_", " ").title(), lambda m: "  " + m.replace("_", "-") + " ",
+             lambda m: f"({m})", lambda m: m.replace("_", " / "), lambda m: "\t" + m, lambda m: m + "x")
+    said = [(f(m), m if i < len(forms) - 1 else "other") for m in SUBSPECIALTIES for i, f in enumerate(forms)]
+    rows = spark.createDataFrame([*said, (None, "other"), ("", "other"), ("--", "other")], "c string, want string")
+    got = rows.withColumn("got", coerce.coerce_enum("c", SUBSPECIALTIES, "other"))
+    assert "element_at" not in got._jdf.queryExecution().analyzed().toString()
+    assert not got.filter("got is distinct from want").collect()
