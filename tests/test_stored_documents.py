@@ -1,9 +1,13 @@
 """What larger runs met: stored documents read once and in part, packed, written without a shuffle of them."""
 
+import json
+
 from pyspark.sql import functions as F
 from test_stored_runs import answered, positioned
 
+from evidence.functions import jsontext
 from evidence.plans import extract
+from evidence.sources import jsonl
 
 
 def test_arbitration_reads_documents_once(spark, tmp_path):
@@ -21,3 +25,33 @@ def test_arbitration_reads_documents_once(spark, tmp_path):
     assert (totals.flagged, totals.scheduled, totals.ok) == (20, 20, 20)
     assert read.value == 20
     assert not list((tmp_path / "rerun" / "seen").rglob("part-*"))
+
+
+def test_parts_that_nobody_selects_are_not_cast(spark, tmp_path):
+    lines = [{"article_level": {"pmid": 7, "primary_subspecialty": "a"}, "needs_review": False, "pmid": " 1 "},
+             {"article_level": [], "model_level": {}, "normalization": 3, "quality_flags": None},
+             {"article_level": {"primary_subspecialty": {"x": 1}}, "model_level": [{"model_quality_score": {"total_score": 5}}, 4],
+              "normalization": {"overall_extraction_confidence": "90"}},
+             {"model_level": [{"model_quality_score": {"total_score": 5}}], "normalization": {"overall_extraction_confidence": 90},
+              "quality_flags": {"requires_human_review": False}}]
+    (tmp_path / "s_1.json").write_text("\n".join([*map(json.dumps, lines), "{} x", "[]", '{"a": 1', ""]))
+    docs = jsonl.read_documents(spark, str(tmp_path))
+    assert docs.count() == 4
+    got = [(r.pmid, r.sub, r.needs_review, r.shard) for r in docs.select(
+        "pmid", F.col("doc.article_level.primary_subspecialty").alias("sub"), "needs_review", "shard").collect()]
+    assert got == [(" 1 ", "a", False, "1"), (None, None, True, "1"), (None, '{"x":1}', False, "1"), (None, None, False, "1")]
+    whole = [r.doc.asDict(True) for r in docs.collect()]
+    assert whole[1] == {"article_level": None, "model_level": None, "normalization": None, "quality_flags": None}
+    assert [len(w["model_level"] or []) for w in whole] == [0, 0, 2, 1] and whole[0]["article_level"]["pmid"] == "7"
+    plan = docs.select("pmid", F.col("doc.article_level.primary_subspecialty"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "StructField(title" in plan and "StructField(model_name" not in plan and "disease_ambiguous" not in plan
+
+
+def test_boxed_objects(spark):
+    texts = ['{"a": 1}', ' {"a": 2}\n', '{"a": 3} x', "[1]", "5", "", None, '{"a": 4', '{}']
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r.a for r in rows.select(F.try_variant_get(jsontext.boxed_object("t"), "$[0].a", "int").alias("a")).collect()]
+    assert got == [1, 2] + [None] * 7
+    kept = [r.k for r in rows.select(F.to_json(jsontext.parse_strict_object("t")).alias("k")).collect()]
+    assert kept == ['{"a":1}', '{"a":2}', *[None] * 6, "{}"]
+    assert [r.k for r in rows.select(F.to_json(jsontext.parse_strict("t")).alias("k")).collect()][3:5] == ["[1]", "5"]
