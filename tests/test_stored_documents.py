@@ -5,6 +5,7 @@ import json
 from pyspark.sql import functions as F
 from test_stored_runs import answered, positioned
 
+from bindings import extraction
 from evidence.functions import jsontext
 from evidence.plans import extract
 from evidence.sources import jsonl
@@ -55,3 +56,13 @@ def test_boxed_objects(spark):
     kept = [r.k for r in rows.select(F.to_json(jsontext.parse_strict_object("t")).alias("k")).collect()]
     assert kept == ['{"a":1}', '{"a":2}', *[None] * 6, "{}"]
     assert [r.k for r in rows.select(F.to_json(jsontext.parse_strict("t")).alias("k")).collect()][3:5] == ["[1]", "5"]
+
+
+def test_reloaded_documents_are_packed(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(k, k) for k in range(1, 40)], "o_orderkey long, o_custkey long").withColumns(
+        {"o_orderdate": F.to_date(F.lit("2020-01-02")), "o_orderpriority": F.lit("1-URGENT")}).write.parquet(f"{tmp_path}/orders.parquet")
+    monkeypatch.setattr(extraction, "shared_folder", lambda *_: f"{tmp_path}/documents")
+    rows = extraction.reloaded_documents(spark, str(tmp_path)).collect()
+    assert sorted(int(r.pmid) for r in rows) == list(range(1, 40))
+    files = [f.name for f in (tmp_path / "documents").iterdir() if f.name.startswith("part-")]
+    assert files and all(f.endswith(".json.gz") for f in files)
