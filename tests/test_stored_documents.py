@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 from test_stored_runs import answered, positioned
 
 from bindings import extraction
+from evidence import session
 from evidence.functions import jsontext
 from evidence.plans import extract
-from evidence.sources import jsonl
+from evidence.sources import jsonl, sinks
 
 
 def test_arbitration_reads_documents_once(spark, tmp_path):
@@ -58,6 +59,21 @@ def test_boxed_objects(spark):
     assert [r.k for r in rows.select(F.to_json(jsontext.parse_strict("t")).alias("k")).collect()][3:5] == ["[1]", "5"]
 
 
+def test_few_shards_are_written_without_a_shuffle(spark, tmp_path, monkeypatch):
+    source = positioned(spark, [str(i) for i in range(40)]).withColumn("shard", F.col("ord") % 3)
+    source = source.withColumn("shard", F.col("shard").cast("string"))
+    said, hints = answered(spark, source), []
+    whole = sinks.write_by_shard
+    monkeypatch.setattr(sinks, "write_by_shard", lambda *a, **k: hints.append(k["few"]) or whole(*a, **k))
+    extract.run_extract(source, said, str(tmp_path), "r")
+    assert hints == [True] * 3
+    docs = extract.read_stream(spark, str(tmp_path), "r")
+    assert sorted((int(r.pmid), r.shard) for r in docs.select("pmid", "shard").collect()) == [(i, str(i % 3)) for i in range(40)]
+    many = spark.range(200).select((F.col("id") % (session.FEW_SHARDS + 1)).cast("string").alias("shard"))
+    assert sinks.few_shards(source) and not sinks.few_shards(many)
+    assert not sinks.few_shards(many.filter(F.lit(True)))
+
+
 def test_reloaded_documents_are_packed(spark, tmp_path, monkeypatch):
     spark.createDataFrame([(k, k) for k in range(1, 40)], "o_orderkey long, o_custkey long").withColumns(
         {"o_orderdate": F.to_date(F.lit("2020-01-02")), "o_orderpriority": F.lit("1-URGENT")}).write.parquet(f"{tmp_path}/orders.parquet")
