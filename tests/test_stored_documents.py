@@ -71,7 +71,16 @@ def test_few_shards_are_written_without_a_shuffle(spark, tmp_path, monkeypatch):
     assert sorted((int(r.pmid), r.shard) for r in docs.select("pmid", "shard").collect()) == [(i, str(i % 3)) for i in range(40)]
     many = spark.range(200).select((F.col("id") % (session.FEW_SHARDS + 1)).cast("string").alias("shard"))
     assert sinks.few_shards(source) and not sinks.few_shards(many)
-    assert not sinks.few_shards(many.filter(F.lit(True)))
+    for none in (None, ""):
+        assert not sinks.few_shards(spark.createDataFrame([("a",), (none,)], "shard string"))
+
+
+def test_rows_without_a_shard_stay_in_one_file(spark, tmp_path):
+    source = positioned(spark, [str(i) for i in range(40)]).withColumn("shard", F.when(F.col("ord") % 4 != 0, "a"))
+    extract.run_extract(source.repartition(8), answered(spark, source), str(tmp_path), "r")
+    docs = extract.read_stream(spark, str(tmp_path), "r")
+    assert docs.filter("shard = 'a'").count() == 30
+    assert docs.filter("shard != 'a'").select("shard").distinct().count() == 1 and docs.count() == 40
 
 
 def test_reloaded_documents_are_packed(spark, tmp_path, monkeypatch):
